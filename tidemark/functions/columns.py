@@ -68,12 +68,13 @@ def double_millis_to_date(ms: str | Column) -> Column:
     return millis_to_date(F.round(col_(ms)).cast("long"))
 
 
-def zip_shortest(*arrays: str | Column) -> Column:
-    """Zip arrays by position, keeping only positions present in all of them."""
-    cols = [col_(a) for a in arrays]
-    n = F.least(*[F.coalesce(F.size(c), F.lit(0)) for c in cols])
+def zip_shortest(**arrays: str | Column) -> Column:
+    """Zip named arrays by position, keeping only positions present in all of
+    them; the struct fields carry the given names."""
+    cols = {name: col_(a) for name, a in arrays.items()}
+    n = F.least(*[F.coalesce(F.size(c), F.lit(0)) for c in cols.values()])
     # arrays_zip alone pads the shorter arrays with NULL; slice to the shortest first.
-    return F.arrays_zip(*[F.slice(c, 1, n) for c in cols])
+    return F.arrays_zip(*[F.slice(c, 1, n).alias(name) for name, c in cols.items()])
 
 
 def pair_value(pair: str | Column, index: int) -> Column:

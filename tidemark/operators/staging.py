@@ -93,9 +93,7 @@ def stage_market_chart(raw: DataFrame) -> DataFrame:
         F.from_json("raw_json", CHART_PAYLOAD).alias("payload"),
     )
     zipped = zip_shortest(
-        F.col("payload.prices").alias("p"),
-        F.col("payload.total_volumes").alias("v"),
-        F.col("payload.market_caps").alias("mc"),
+        p=F.col("payload.prices"), v=F.col("payload.total_volumes"), mc=F.col("payload.market_caps")
     )
     points = parsed.select(
         "coin_id", "vs_currency", "__de_processed_at", "__run_id", F.explode(zipped).alias("pt")

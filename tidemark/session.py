@@ -47,6 +47,7 @@ def build_session(
         builder = builder.master(master)
     conf = dict(RUNTIME_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -72,10 +72,15 @@ def _unit_price_bars(spark: SparkSession, sf_dir: str, symbol) -> DataFrame:
         sym = F.col("p_brand")
     else:
         sym = F.col("l_partkey").cast("string")
-    return line.groupBy(sym.alias("symbol"), F.to_date("l_shipdate").alias("price_date")).agg(
+    bars = line.groupBy(sym.alias("symbol"), F.to_date("l_shipdate").alias("price_date")).agg(
         F.round(F.max(unit), 4).alias("close_price"),
         F.count(F.lit(1)).cast("double").alias("volume"),
     )
+    none = F.lit(None).cast("double")
+    return bars.select(
+        "symbol", "price_date", none.alias("open_price"), none.alias("high_price"), none.alias("low_price"),
+        "close_price", "volume",
+    )
 
 
 def bars_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
