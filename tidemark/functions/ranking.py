@@ -3,87 +3,84 @@
 A window without partitioning moves every row into one task. Instead:
 1. range-partition the rows on the sort key (equal keys share a partition,
    partitions hold contiguous key ranges in order);
-2. rank inside each partition with a sorted pass (mapInPandas, carrying the
-   running position across Arrow batches of the same partition);
+2. rank inside each range partition (a window partitioned by the range
+   partition number, so many tasks work at once);
 3. add the number of rows in all earlier partitions, from a table with one
    row per partition (broadcast: its size is the partition count).
 The result equals RANK() OVER (ORDER BY key): ties share the lowest rank and
 the next distinct key skips ahead.
+
+The input is read several times (range sampling, the rank branch, the count
+branch), so it is first materialised once with a reliable checkpoint in the
+shared ``spark.checkpoint.dir``; every branch then reads the same rows, and
+the range partition numbers of both branches agree.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tidemark.session import scratch_root
 
-def _local_rank(key: str, rank_col: str):
-    def fn(batches):
-        seen = 0
-        last = None
-        last_rank = 0
-        started = False
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{rank_col: pd.Series(dtype="int64")})
-                continue
-            keys = pdf[key].tolist()
-            ranks = []
-            for k in keys:
-                seen += 1
-                same = started and (k == last or (k is None and last is None) or (k != k and last != last))
-                if not same:
-                    last_rank = seen
-                    last = k
-                    started = True
-                ranks.append(last_rank)
-            yield pdf.assign(**{rank_col: ranks})
 
-    return fn
+def _sort_expr(key: str, ascending: bool, nulls_first: bool | None):
+    if nulls_first is None:
+        nulls_first = ascending
+    c = F.col(key)
+    if ascending:
+        return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
+    return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
 
 
-def global_rank(
+def _rank_one(df: DataFrame, key: str, rank_col: str, ascending: bool, nulls_first, n: int) -> DataFrame:
+    order = _sort_expr(key, ascending, nulls_first)
+    ranged = df.repartitionByRange(n, order).withColumn("__part", F.spark_partition_id())
+    ranged = ranged.checkpoint(eager=True)
+    local = ranged.withColumn("__local", F.rank().over(Window.partitionBy("__part").orderBy(order)))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition: this window is bounded by the partition count.
+    offsets = (
+        ranged.groupBy("__part")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    )
+    out = local.join(F.broadcast(offsets), "__part").withColumn(
+        rank_col, (F.col("__local") + F.col("__offset")).cast("long")
+    )
+    return out.drop("__part", "__offset", "__local")
+
+
+def global_ranks(
     df: DataFrame,
-    key: str,
-    rank_col: str,
-    ascending: bool = True,
+    specs: Sequence[tuple[str, str, bool]],
     nulls_first: bool | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``rank_col`` = RANK() OVER (ORDER BY key [ASC|DESC]).
+    """Add one RANK() column per (key, rank_col, ascending) spec.
 
     Null placement follows Spark's default unless ``nulls_first`` is given
     (ascending: nulls first; descending: nulls last).
     """
     spark = df.sparkSession
+    scratch_root(spark)  # make sure a checkpoint folder is set (tests)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if nulls_first is None:
-        nulls_first = ascending
-    c = F.col(key)
-    order = (
-        (c.asc_nulls_first() if nulls_first else c.asc_nulls_last())
-        if ascending
-        else (c.desc_nulls_first() if nulls_first else c.desc_nulls_last())
-    )
-    ranged = (
-        df.repartitionByRange(n, order)
-        .sortWithinPartitions(order)
-        .withColumn("__part", F.spark_partition_id())
-    )
-    # Both branches below read the same range exchange (Spark reuses it), so
-    # partition numbers and their counts refer to one and the same shuffle.
-    schema = T.StructType(ranged.schema.fields + [T.StructField(rank_col, T.LongType())])
-    local = ranged.mapInPandas(_local_rank(key, rank_col), schema)
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition: the window over it is bounded by the partition count.
-    offsets = (
-        ranged.groupBy("__part")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    )
-    out = local.join(F.broadcast(offsets), "__part").withColumn(
-        rank_col, (F.col(rank_col) + F.col("__offset")).cast("long")
-    )
-    return out.drop("__part", "__offset")
+    # Upstream runs once; range sampling and the range shuffle read the checkpoint.
+    out = df.checkpoint(eager=True)
+    for key, rank_col, ascending in specs:
+        out = _rank_one(out, key, rank_col, ascending, nulls_first, n)
+    return out
+
+
+def global_rank(
+    df: DataFrame,
+    key: str,
+    rank_col: str,
+    ascending: bool = True,
+    nulls_first: bool | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``rank_col`` = RANK() OVER (ORDER BY key [ASC|DESC])."""
+    return global_ranks(df, [(key, rank_col, ascending)], nulls_first, partitions)

@@ -264,3 +264,61 @@ def qc_all_in_one_scan(spark, sf_dir):
             "unregistered": c("asset_key").isNull(),
         },
     )
+
+
+# ---------------------------------------------------------------- writes: upsert, incremental, stream
+
+UPSERT_SPLIT = "1998-06-01"   # batch 1: lines shipped before, batch 2: on/after (ingestion order)
+FACT_SPLIT = "1998-04-15"     # fact built up to this date, then appended incrementally
+
+
+@register("upsert_latest")  # SNK4-SNK7, ST1
+def upsert_latest(spark, sf_dir):
+    """Two-batch incremental load of the duplicated lines; equals a full de-duplication."""
+    from tidemark.plans.upsert import upsert
+    from tidemark.session import scratch_path
+
+    lines = fx.table(spark, sf_dir, "lineitem")
+    target = scratch_path(spark, "upsert-lines")
+    part = F.floor(F.col("l_orderkey") / 4096)
+    split = F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
+    for batch in (lines.where(F.col("l_shipdate") < split), lines.where(F.col("l_shipdate") >= split)):
+        upsert(spark, target, batch, ["l_orderkey", "l_linenumber"], DUP_ORDER, part, sort_cols=["l_orderkey"])
+    return spark.read.parquet(target).drop("part")
+
+
+@register("fact_incremental")  # M23
+def fact_incremental(spark, sf_dir):
+    """Fact returns built up to a date, then extended with the later rows; equals a full build."""
+    from tidemark.operators.facts import COMBINED_COLUMNS, returns_to_rewrite
+    from tidemark.plans.upsert import full_refresh, month_partition, upsert
+    from tidemark.session import scratch_path
+
+    rows = bars_source(fx.bars_orders(spark, sf_dir))
+    split = F.lit(FACT_SPLIT).cast("date")
+    target = scratch_path(spark, "fact-incremental")
+    first = with_returns(combine_sources(rows.where(F.col("price_date") < split)), by=("symbol", "source"))
+    full_refresh(first, target, month_partition(), sort_cols=["symbol", "price_date"])
+    existing = spark.read.parquet(target).drop("part")
+    rewrite = returns_to_rewrite(existing, rows.where(F.col("price_date") >= split).select(*COMBINED_COLUMNS, "source"))
+    upsert(spark, target, rewrite, ["symbol", "source", "price_date"], ["price_date"], month_partition(),
+           sort_cols=["symbol", "price_date"])
+    out = spark.read.parquet(target)
+    return out.select(
+        "symbol", "price_date", "close_price", "prev_close_price", "daily_return", "intraday_range_pct",
+        "days_since_prev", "has_data_gap",
+    )
+
+
+@register("stream_landing")  # ST2, SNK1, SRC1
+def stream_landing(spark, sf_dir):
+    """Landed documents picked up by a stream in several micro-batches, merged into staging."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.landing import write_landing
+    from tidemark.streaming.landing_stream import stage_bars_stream
+
+    root = scratch_path(spark, "landing")
+    write_landing(fx.raw_nested(spark, sf_dir).repartition(4, "symbol"), root, "bars")
+    staging = scratch_path(spark, "stream-staging")
+    stage_bars_stream(spark, f"{root}/bars", staging, scratch_path(spark, "stream-checkpoint"), max_files_per_trigger=1)
+    return spark.read.parquet(staging).drop("part")

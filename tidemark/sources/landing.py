@@ -95,16 +95,24 @@ def missing_assets(expected: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def write_landing(docs: DataFrame, root: str, source: str) -> None:
-    """SNK1: append landed documents as JSON under ``root/source=<source>/symbol=<id>``."""
-    docs.withColumn("source", F.lit(source)).write.mode("append").partitionBy("source", "symbol").json(root)
+    """SNK1: append landed documents as newline JSON under ``root/<source>/``.
+
+    Appends never replace earlier files (each write adds new part files), and
+    each document keeps its own id, window and audit fields, so the folder can
+    be scanned by a batch read or picked up file by file by a stream."""
+    docs.write.mode("append").json(f"{root.rstrip('/')}/{source}")
 
 
 def append_raw(docs: DataFrame, table_path: str, id_column: str = "symbol") -> None:
-    """SNK2: append to a raw table partitioned by ingestion day, clustered by id."""
+    """SNK2: append to a raw table partitioned by ingestion day, clustered by id.
+
+    A daily load is a single ingestion day, so hashing on the day alone would
+    give one writer task; range partitioning on (day, id) spreads a day over
+    all tasks while each file still holds a contiguous run of ids."""
     out = docs.withColumn("ingest_date", F.to_date("__de_processed_at"))
     (
-        out.repartition("ingest_date")
-        .sortWithinPartitions(id_column)
+        out.repartitionByRange("ingest_date", id_column)
+        .sortWithinPartitions("ingest_date", id_column)
         .write.mode("append")
         .partitionBy("ingest_date")
         .parquet(table_path)
