@@ -91,21 +91,28 @@ def chart_source(stg_chart: DataFrame) -> DataFrame:
     ).withColumn("source", F.lit("chart"))
 
 
-def with_returns(df: DataFrame, gap_days: int = GAP_DAYS, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+def with_returns(df: DataFrame, gap_days: int = GAP_DAYS, series: str | None = "source") -> DataFrame:
     """M6-M8: previous close and date inside each series, then daily return,
     intraday range, days since the previous observation and the gap flag.
 
-    Each series is a partition of the window; with unique (symbol, price_date)
-    a series holds at most one row per calendar day, so a window partition is
-    bounded by the calendar span of the data, never by the data volume.
+    A series is (symbol, ``series``). The window is partitioned by symbol only
+    and ordered by (series, price_date); a previous row from another series is
+    ignored. That is exactly the per-series lag, but it needs only a
+    hash-partitioning on symbol, which every later per-symbol window (rolling
+    metrics) reuses: one shuffle for the whole fact + marts chain.
+    With unique (symbol, price_date) per series, a window partition holds at
+    most one row per calendar day and series.
     """
-    w = Window.partitionBy(*by).orderBy("price_date")
-    out = df.withColumns(
-        {
-            "prev_close_price": F.lag("close_price").over(w),
-            "prev_price_date": F.lag("price_date").over(w),
-        }
-    )
+    if series is not None and series in df.columns:
+        w = Window.partitionBy("symbol").orderBy(series, "price_date")
+        same = F.lag(series).over(w).eqNullSafe(F.col(series))
+        prev_close = F.when(same, F.lag("close_price").over(w))
+        prev_date = F.when(same, F.lag("price_date").over(w))
+    else:
+        w = Window.partitionBy("symbol").orderBy("price_date")
+        prev_close = F.lag("close_price").over(w)
+        prev_date = F.lag("price_date").over(w)
+    out = df.withColumns({"prev_close_price": prev_close, "prev_price_date": prev_date})
     days = days_between("price_date", "prev_price_date")
     return out.withColumns(
         {
@@ -118,16 +125,11 @@ def with_returns(df: DataFrame, gap_days: int = GAP_DAYS, by: tuple[str, ...] =
 
 
 def combine_sources(*sources: DataFrame) -> DataFrame:
-    """Stack the per-source rows, hash-partitioned by symbol once.
-
-    Partitioning on symbol alone satisfies both the per-(symbol, source) lag
-    and every later per-symbol window, so the fact and the rolling marts
-    share this single shuffle.
-    """
+    """Stack the per-source rows (positional columns, by name)."""
     out = sources[0]
     for s in sources[1:]:
         out = out.unionByName(s)
-    return out.repartition("symbol")
+    return out
 
 
 def fact_daily_prices(
@@ -146,9 +148,10 @@ def fact_daily_prices(
     what we evaluate (two scalar subqueries), which keeps the fact out of any
     shuffle on price_date.
     """
-    returns = with_returns(sources, gap_days, by=("symbol", "source"))
-    lo = dates.select(F.min("date_key")).scalar()
-    hi = dates.select(F.max("date_key")).scalar()
+    returns = with_returns(sources, gap_days)
+    # One subquery for both ends of the calendar.
+    span = dates.select(F.struct(F.min("date_key").alias("lo"), F.max("date_key").alias("hi"))).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
     asset_cols = assets.select(F.col("symbol").alias("__asset_symbol"), F.col("asset_type"))
     joined = returns.join(asset_cols, returns["symbol"] == asset_cols["__asset_symbol"], "left")
     out = joined.select(
@@ -201,5 +204,5 @@ def returns_to_rewrite(existing: DataFrame, incoming: DataFrame, gap_days: int =
     tail = ex.where(F.col("price_date") >= F.col("__from")).drop("__from")
     replaced = tail.join(incoming.select(*keys, "price_date"), [*keys, "price_date"], "left_anti")
     body = replaced.unionByName(incoming.select(*COMBINED_COLUMNS, "source")).withColumn("__anchor", F.lit(False))
-    series = anchor.unionByName(body).repartition("symbol")
-    return with_returns(series, gap_days, by=("symbol", "source")).where(~F.col("__anchor")).drop("__anchor")
+    series = anchor.unionByName(body)
+    return with_returns(series, gap_days).where(~F.col("__anchor")).drop("__anchor")

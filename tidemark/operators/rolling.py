@@ -40,24 +40,31 @@ def rolling_performance(
     )
     w = Window.partitionBy("symbol").orderBy("price_date")
     ann = F.sqrt(F.lit(float(trading_days)))
-    metrics = {}
+    aggs = []
     for n in windows:
         frame = w.rowsBetween(-(n - 1), Window.currentRow)
-        first = F.first("close_price").over(frame)
-        metrics[f"return_{n}d"] = F.round(
-            F.when(first > 0, (F.col("close_price") - first) / first), ROUND_RETURN
-        )
-        metrics[f"volatility_{n}d"] = F.round(F.stddev_samp("daily_return").over(frame) * ann, ROUND_RETURN)
-        metrics[f"obs_{n}d"] = F.count("daily_return").over(frame)
-    out = base.select(
+        aggs += [
+            F.first("close_price").over(frame).alias(f"__first_{n}"),
+            F.stddev_samp("daily_return").over(frame).alias(f"__sd_{n}"),
+            F.count("daily_return").over(frame).alias(f"obs_{n}d"),
+        ]
+    # Every window aggregate is computed once (one Window operator, one sort);
+    # returns and volatilities are plain projections over them.
+    framed = base.select("*", *aggs)
+    close = F.col("close_price")
+    out = framed.select(
         "symbol",
         "asset_type",
         "price_date",
         "close_price",
         "daily_return",
-        *[metrics[f"return_{n}d"].alias(f"return_{n}d") for n in windows],
-        *[metrics[f"volatility_{n}d"].alias(f"volatility_{n}d") for n in windows],
-        *[metrics[f"obs_{n}d"].alias(f"obs_{n}d") for n in windows],
+        *[
+            F.round(F.when(F.col(f"__first_{n}") > 0, (close - F.col(f"__first_{n}")) / F.col(f"__first_{n}")),
+                    ROUND_RETURN).alias(f"return_{n}d")
+            for n in windows
+        ],
+        *[F.round(F.col(f"__sd_{n}") * ann, ROUND_RETURN).alias(f"volatility_{n}d") for n in windows],
+        *[F.col(f"obs_{n}d") for n in windows],
     )
     if lookback_days is not None:
         out = lookback(out, fact, lookback_days)

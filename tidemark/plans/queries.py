@@ -297,7 +297,7 @@ def fact_incremental(spark, sf_dir):
     rows = bars_source(fx.bars_orders(spark, sf_dir))
     split = F.lit(FACT_SPLIT).cast("date")
     target = scratch_path(spark, "fact-incremental")
-    first = with_returns(combine_sources(rows.where(F.col("price_date") < split)), by=("symbol", "source"))
+    first = with_returns(combine_sources(rows.where(F.col("price_date") < split)))
     full_refresh(first, target, month_partition(), sort_cols=["symbol", "price_date"])
     existing = spark.read.parquet(target).drop("part")
     rewrite = returns_to_rewrite(existing, rows.where(F.col("price_date") >= split).select(*COMBINED_COLUMNS, "source"))

@@ -49,4 +49,4 @@ def orders_star(spark: SparkSession, sf_dir: str, with_events: bool = False) ->
 
 def brands_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily returns of the brand bars (symbol, price_date, daily_return, ...)."""
-    return with_returns(combine_sources(bars_source(fx.bars_brands(spark, sf_dir))), by=("symbol", "source"))
+    return with_returns(combine_sources(bars_source(fx.bars_brands(spark, sf_dir))))
