@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import LOOKBACK_DAYS, ROUND_RATIO, ROUND_RETURN, TRADING_DAYS
 from tidemark.operators.rolling import lookback
 from tidemark.plans.sizing import bounded_broadcast
+from tidemark.session import scratch_root
 
 
 def recent_returns(fact: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -63,11 +64,15 @@ def volatility_correlation_summary(
 ) -> DataFrame:
     """Each pair with both symbols' statistics, by |correlation| descending.
 
-    The statistics table has one row per symbol; it is broadcast to both
-    joins once that count is checked (pairs outnumber symbols), otherwise
-    both joins shuffle.
+    The look-back returns (three narrow columns) feed both the pair join and
+    the statistics, so they are materialised once with a reliable checkpoint
+    in the shared checkpoint folder: the upstream (bars, joins, lag window)
+    runs once and the lineage is cut. The statistics table has one row per
+    symbol; it is broadcast to both joins once that count is checked (pairs
+    outnumber symbols), otherwise both joins shuffle.
     """
-    returns = recent_returns(fact, lookback_days)
+    scratch_root(fact.sparkSession)
+    returns = recent_returns(fact, lookback_days).checkpoint(eager=True)
     corr = pairwise_correlation(returns)
     stats = volatility_stats(returns, trading_days)
     side = bounded_broadcast(stats)
