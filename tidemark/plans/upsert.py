@@ -38,12 +38,19 @@ def month_partition(date_col: str = "price_date") -> Column:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")) or (
-        fs.exists(jpath) and len(fs.listStatus(jpath)) > 0
-    )
+    """True when ``path`` holds a readable, non-empty parquet table."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(jpath) or len(fs.listStatus(jpath)) == 0:
+            return False
+    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): probe by reading
+        pass
+    try:
+        return len(spark.read.parquet(path).schema.fields) > 0
+    except Exception:  # noqa: BLE001 - missing path or no parquet files
+        return False
 
 
 def _write(df: DataFrame, path: str, partition_col: str, mode: str, dynamic: bool, sort_cols: Sequence[str]) -> None:

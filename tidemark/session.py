@@ -65,13 +65,17 @@ def scratch_root(spark: SparkSession) -> str:
     Only when the setting is absent (local tests) do we set our own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = os.path.join("/tmp", "tidemark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
