@@ -267,3 +267,33 @@ def test_incremental_watermark_empty_target(spark, tmp_path):
     from tidemark.plans.upsert import incremental_watermark
 
     assert incremental_watermark(spark, str(tmp_path / "missing")) is None
+
+
+# ---------------------------------------------------------------- distributed rank
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_global_rank_hot_ties_and_nulls_match_brute_force(spark, ascending):
+    import random
+
+    from tidemark.functions.ranking import global_ranks
+
+    rnd = random.Random(11)
+    keys = []
+    for i in range(3000):
+        u = rnd.random()
+        keys.append(None if u < 0.2 else (5.0 if u < 0.55 else float(rnd.randint(0, 50))))
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k double")
+    got = {r["id"]: r["rk"] for r in global_ranks(df, [("k", "rk", ascending)], partitions=16, single_task_rows=0).collect()}
+
+    # Spark default null placement: first when ascending, last when descending.
+    def sort_key(k):
+        if k is None:
+            return (0,) if ascending else (2,)
+        return (1, k if ascending else -k)
+
+    ordered = sorted(keys, key=sort_key)
+    first_pos = {}
+    for pos, k in enumerate(ordered, start=1):
+        first_pos.setdefault(k, pos)
+    assert all(got[i] == first_pos[k] for i, k in enumerate(keys))

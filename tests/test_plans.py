@@ -54,7 +54,7 @@ def test_rank_is_not_a_single_partition_window_over_the_rows(spark, sf_dir):
     from tidemark.functions.ranking import global_rank
 
     df = spark.range(0, 5000).select((F.col("id") % 997).alias("k"), F.col("id"))
-    ranked = global_rank(df, "k", "rk", ascending=False)
+    ranked = global_rank(df, "k", "rk", ascending=False, single_task_rows=0)
     plan = explain(ranked)
     # The only window without partitioning runs over one row per range partition.
     assert re.search(r"rank\(__local|rank\(\)", plan) is None or "partitionBy" not in plan
