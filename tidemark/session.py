@@ -48,6 +48,8 @@ def build_session(
     conf = dict(RUNTIME_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # Remove reliable-checkpoint files once their DataFrames are garbage collected.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -138,3 +138,8 @@ def read_raw_since(
         (F.col("ingest_date") >= F.lit(since.date()))
         & (F.col("__de_processed_at") > F.lit(since))
     )
+
+
+def export_json(df: DataFrame, path: str) -> None:
+    """SNK9: newline-JSON export of a mart (one file per task, written in parallel)."""
+    df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'").json(path)
