@@ -20,11 +20,63 @@ def lookback(df: DataFrame, anchor: DataFrame, days: int = LOOKBACK_DAYS) -> Dat
     return df.where(F.col("price_date") >= F.date_sub(latest, days))
 
 
+def _frame_aggregates(base: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """first close, sample stddev and count of returns over each ROWS frame.
+
+    Spark re-aggregates a sliding frame for every row: O(rows x window)."""
+    w = Window.partitionBy("symbol").orderBy("price_date")
+    aggs = []
+    for n in windows:
+        frame = w.rowsBetween(-(n - 1), Window.currentRow)
+        aggs += [
+            F.first("close_price").over(frame).alias(f"__first_{n}"),
+            F.stddev_samp("daily_return").over(frame).alias(f"__sd_{n}"),
+            F.count("daily_return").over(frame).alias(f"obs_{n}d"),
+        ]
+    return base.select("*", *aggs)
+
+
+def _prefix_aggregates(base: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """The same three aggregates in O(1) per row from running totals.
+
+    first close = the close N-1 rows back (or the series' first close);
+    count = running count minus the running count N rows back, both exact.
+    The variance comes from running sums of (r - c) and (r - c)^2, with c the
+    series' first return (shifting keeps the sums small), differenced N rows
+    apart: equal to the frame result up to floating-point rounding.
+    """
+    w = Window.partitionBy("symbol").orderBy("price_date")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shift = F.first("daily_return", ignorenulls=True).over(whole)
+    centred = F.col("daily_return") - F.col("__shift")
+    step1 = base.withColumn("__shift", shift).select(
+        "*",
+        F.first("close_price").over(running).alias("__first_all"),
+        F.count("daily_return").over(running).alias("__cnt"),
+        F.coalesce(F.sum(centred).over(running), F.lit(0.0)).alias("__s1"),
+        F.coalesce(F.sum(centred * centred).over(running), F.lit(0.0)).alias("__s2"),
+    )
+    cols = []
+    for n in windows:
+        k = F.col("__cnt") - F.coalesce(F.lag("__cnt", n).over(w), F.lit(0))
+        s1 = F.col("__s1") - F.coalesce(F.lag("__s1", n).over(w), F.lit(0.0))
+        s2 = F.col("__s2") - F.coalesce(F.lag("__s2", n).over(w), F.lit(0.0))
+        var = F.greatest(F.try_divide(s2 - F.try_divide(s1 * s1, k), k - 1), F.lit(0.0))
+        cols += [
+            F.coalesce(F.lag("close_price", n - 1).over(w), F.col("__first_all")).alias(f"__first_{n}"),
+            F.when(k >= 2, F.sqrt(var)).alias(f"__sd_{n}"),
+            k.alias(f"obs_{n}d"),
+        ]
+    return step1.select("*", *cols)
+
+
 def rolling_performance(
     fact: DataFrame,
     windows: Sequence[int] = WINDOWS,
     lookback_days: int | None = LOOKBACK_DAYS,
     trading_days: int = TRADING_DAYS,
+    method: str = "frames",
 ) -> DataFrame:
     """Per symbol and date: simple return, annualised volatility and the count
     of returns over the last N observations (ROWS frames), for each N.
@@ -34,23 +86,20 @@ def rolling_performance(
     at the start of a series are allowed. The look-back filter is applied
     after the windows (history before it still feeds them) and is anchored on
     the latest date of the whole fact.
+
+    ``method="frames"`` (default) evaluates the ROWS frames directly, the
+    exact semantics of the reference. ``method="prefix"`` derives the same
+    values from running totals in O(1) per row instead of O(window); first
+    close and counts are identical, volatilities agree to floating-point
+    rounding (see ``_prefix_aggregates``).
     """
     base = fact.where(F.col("close_price").isNotNull()).select(
         "symbol", "asset_type", "price_date", "close_price", "daily_return"
     )
-    w = Window.partitionBy("symbol").orderBy("price_date")
     ann = F.sqrt(F.lit(float(trading_days)))
-    aggs = []
-    for n in windows:
-        frame = w.rowsBetween(-(n - 1), Window.currentRow)
-        aggs += [
-            F.first("close_price").over(frame).alias(f"__first_{n}"),
-            F.stddev_samp("daily_return").over(frame).alias(f"__sd_{n}"),
-            F.count("daily_return").over(frame).alias(f"obs_{n}d"),
-        ]
-    # Every window aggregate is computed once (one Window operator, one sort);
-    # returns and volatilities are plain projections over them.
-    framed = base.select("*", *aggs)
+    # Every window aggregate is computed once (one sort, Window operators over
+    # the same partitioning); returns and volatilities are projections over them.
+    framed = _prefix_aggregates(base, windows) if method == "prefix" else _frame_aggregates(base, windows)
     close = F.col("close_price")
     out = framed.select(
         "symbol",
