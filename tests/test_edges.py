@@ -346,3 +346,11 @@ def test_prefix_rolling_matches_frames(spark, sf_dir):
     for c in [c for c in a.columns if c.startswith("volatility_")]:
         worst = j.select(F.max(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")))).first()[0]
         assert worst is None or worst <= 1.01e-6, (c, worst)
+
+
+def test_stage_chart_quoted_and_bad_values(spark):
+    d0 = ms(D(2025, 1, 1), 0)
+    doc = ('{"prices": [[%d, "12.5"], [%d, "n/a"]], "total_volumes": [[%d, 1], [%d, 2]], '
+           '"market_caps": [[%d, 3], [%d, 4]]}') % (d0, d0 + 86_400_000, d0, d0 + 86_400_000, d0, d0 + 86_400_000)
+    out = stage_market_chart(spark.createDataFrame([chart_doc("q", doc, TS(2025, 2, 1))], RAW_CHART)).collect()
+    assert [(r["price_date"], r["close_price"], r["volume"]) for r in out] == [(D(2025, 1, 1), 12.5, 1.0)]

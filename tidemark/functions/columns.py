@@ -78,8 +78,9 @@ def zip_shortest(**arrays: str | Column) -> Column:
 
 
 def pair_value(pair: str | Column, index: int) -> Column:
-    """Element ``index`` (0-based) of a [ms, value] pair; NULL when absent."""
-    return F.get(col_(pair), index)
+    """Element ``index`` (0-based) of a [ms, value] pair as a double; NULL when
+    absent or not a number (a non-ANSI cast: bad text does not fail the job)."""
+    return F.get(col_(pair), index).try_cast("double")
 
 
 def rounded(c: str | Column, places: int) -> Column:

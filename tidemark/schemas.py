@@ -39,11 +39,14 @@ RAW_CHART = T.StructType(
 )
 
 # Parsed chart payload: each series is a list of [epoch ms, value] pairs.
+# Elements are kept as JSON text (a number token keeps its literal text) and
+# cast per value, like extracting a JSON scalar and casting it: a quoted
+# number still parses, and one bad value nulls only itself.
 CHART_PAYLOAD = T.StructType(
     [
-        T.StructField("prices", T.ArrayType(T.ArrayType(T.DoubleType()))),
-        T.StructField("total_volumes", T.ArrayType(T.ArrayType(T.DoubleType()))),
-        T.StructField("market_caps", T.ArrayType(T.ArrayType(T.DoubleType()))),
+        T.StructField("prices", T.ArrayType(T.ArrayType(T.StringType()))),
+        T.StructField("total_volumes", T.ArrayType(T.ArrayType(T.StringType()))),
+        T.StructField("market_caps", T.ArrayType(T.ArrayType(T.StringType()))),
     ]
 )
 
