@@ -22,23 +22,68 @@ def pearson(x: str, y: str):
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def pairwise_correlation(returns: DataFrame) -> DataFrame:
+# A join group (date, bucket of a, bucket of b) holds at most ~PAIRS_PER_TASK candidate pairs.
+PAIRS_PER_TASK = 4_000_000
+
+
+def pairwise_correlation(
+    returns: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, materialize: bool = True
+) -> DataFrame:
     """For every pair of symbols (a < b), correlation of the returns on
     common dates and the number of common dates.
 
-    An equi-join on price_date with the residual a.symbol < b.symbol (each
-    unordered pair once). Both sides come from one shuffle on price_date that
-    Spark reuses; the joined rows stream straight into a partial aggregation,
-    so only per-(task, pair) partial moments are shuffled, never the pair rows.
-    A date carrying a large share of rows is split by AQE's skew-join handling.
+    An equi-join on the date with the residual a.symbol < b.symbol (each
+    unordered pair once); the joined rows stream straight into a partial
+    aggregation, so only per-(task, pair) partial moments are shuffled.
+
+    A date carrying very many symbols would put all of its pairs into one
+    task, so hot dates are split explicitly (no reliance on run-time skew
+    handling). Rows per date are counted first; that table has one row per
+    date and is broadcast after its size check. A date with n rows gets
+    k = ceil(n / sqrt(pairs_per_task)) hash buckets of symbols. Each row of
+    that date is sent to the k groups (its bucket, j) on the left side and
+    (i, its bucket) on the right, so the pair (a, b) meets exactly once, in
+    group (bucket(a), bucket(b)), and no group exceeds about pairs_per_task
+    candidates. Ordinary dates have k = 1 and are not replicated.
+
+    The returns are read three times (date counts, both join sides); with
+    ``materialize`` they are checkpointed once in the shared checkpoint folder.
     """
-    a = returns.select(
-        F.col("symbol").alias("symbol_a"), F.col("price_date"), F.col("daily_return").alias("return_a")
+    if materialize:
+        scratch_root(returns.sparkSession)
+        returns = returns.checkpoint(eager=True)
+    side = max(1, int(pairs_per_task ** 0.5))
+    per_date = returns.groupBy("price_date").agg(F.count(F.lit(1)).alias("__n"))
+    buckets = per_date.select("price_date", F.greatest(F.lit(1), F.ceil(F.col("__n") / side)).cast("int").alias("__k"))
+    tagged = returns.join(bounded_broadcast(buckets), "price_date").select(
+        "symbol",
+        "price_date",
+        "daily_return",
+        "__k",
+        F.pmod(F.xxhash64("symbol"), F.col("__k")).cast("int").alias("__b"),
+    )
+    fan = F.explode(F.sequence(F.lit(0), F.col("__k") - 1))
+    a = tagged.select(
+        F.col("symbol").alias("symbol_a"),
+        F.col("price_date"),
+        F.col("daily_return").alias("return_a"),
+        F.col("__b").alias("__i"),
+        fan.alias("__j"),
+    )
+    b = tagged.select(
+        F.col("symbol").alias("symbol_b"),
+        F.col("price_date").alias("date_b"),
+        F.col("daily_return").alias("return_b"),
+        fan.alias("__i_b"),
+        F.col("__b").alias("__j_b"),
     )
-    b = returns.select(
-        F.col("symbol").alias("symbol_b"), F.col("price_date").alias("date_b"), F.col("daily_return").alias("return_b")
+    cond = (
+        (a["price_date"] == b["date_b"])
+        & (a["__i"] == b["__i_b"])
+        & (a["__j"] == b["__j_b"])
+        & (a["symbol_a"] < b["symbol_b"])
     )
-    pairs = a.join(b, (a["price_date"] == b["date_b"]) & (a["symbol_a"] < b["symbol_b"]))
+    pairs = a.join(b, cond)
     return pairs.groupBy("symbol_a", "symbol_b").agg(
         F.round(pearson("return_a", "return_b"), ROUND_RATIO).alias("correlation"),
         F.count(F.lit(1)).alias("obs_count"),
@@ -73,7 +118,7 @@ def volatility_correlation_summary(
     """
     scratch_root(fact.sparkSession)
     returns = recent_returns(fact, lookback_days).checkpoint(eager=True)
-    corr = pairwise_correlation(returns)
+    corr = pairwise_correlation(returns, materialize=False)
     stats = volatility_stats(returns, trading_days)
     side = bounded_broadcast(stats)
     va = side.select(
