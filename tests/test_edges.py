@@ -354,3 +354,21 @@ def test_stage_chart_quoted_and_bad_values(spark):
            '"market_caps": [[%d, 3], [%d, 4]]}') % (d0, d0 + 86_400_000, d0, d0 + 86_400_000, d0, d0 + 86_400_000)
     out = stage_market_chart(spark.createDataFrame([chart_doc("q", doc, TS(2025, 2, 1))], RAW_CHART)).collect()
     assert [(r["price_date"], r["close_price"], r["volume"]) for r in out] == [(D(2025, 1, 1), 12.5, 1.0)]
+
+
+def test_hot_date_split_gives_the_same_pairs(spark):
+    hot = spark.range(300).select(
+        F.concat(F.lit("S"), F.col("id").cast("string")).alias("symbol"),
+        F.lit("2025-01-01").cast("date").alias("price_date"),
+        (F.rand(1) / 100).alias("daily_return"),
+    )
+    cold = spark.range(900).select(
+        F.concat(F.lit("S"), (F.col("id") % 300).cast("string")).alias("symbol"),
+        F.date_add(F.lit("2025-01-02").cast("date"), (F.col("id") % 9).cast("int")).alias("price_date"),
+        (F.rand(2) / 100).alias("daily_return"),
+    )
+    rets = hot.unionByName(cold).dropDuplicates(["symbol", "price_date"]).checkpoint(eager=True)
+    whole = {tuple(r) for r in pairwise_correlation(rets, pairs_per_task=10**9, materialize=False).collect()}
+    split = {tuple(r) for r in pairwise_correlation(rets, pairs_per_task=400, materialize=False).collect()}  # k=15 on the hot date
+    assert len(whole) == 300 * 299 // 2
+    assert whole == split
