@@ -11,6 +11,7 @@ Fixed values: they must equal the reference behaviour for equal results.
   volatilities 6, ratios and correlations 4
 - surrogate key: md5 over the key columns cast to text, joined by "-",
   with a null replaced by the marker "_dbt_utils_surrogate_key_null_"
+- the audit column stamped on rebuilt tables: "__dbt_updated_at"
 - the benchmark symbol of the reference data: "bitcoin"
 - the asset registry of the reference data (symbol, asset_type, asset_name,
   asset_class, currency, exchange, region, is_benchmark), in this order:
@@ -38,6 +39,7 @@ ROUND_RETURN = 6
 ROUND_RATIO = 4
 
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
+UPDATED_AT = "__dbt_updated_at"
 
 BENCHMARK = "bitcoin"
 

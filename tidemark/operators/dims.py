@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.constants import UPDATED_AT
 from tidemark.functions.columns import calendar_columns
 
 
@@ -49,7 +50,7 @@ def dim_assets(registry: DataFrame, *staged: DataFrame, updated_at: Column | Non
         F.coalesce(F.col("trading_days"), F.lit(0)).cast("long").alias("trading_days_available"),
     )
     if updated_at is not None:
-        out = out.withColumn("__dbt_updated_at", updated_at)
+        out = out.withColumn(UPDATED_AT, updated_at)
     return out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.constants import GAP_DAYS
+from tidemark.constants import GAP_DAYS, UPDATED_AT
 from tidemark.functions.columns import (
     days_between,
     gap_flag,
@@ -176,7 +176,7 @@ def fact_daily_prices(
         "__de_processed_at",
     )
     if updated_at is not None:
-        out = out.withColumn("__dbt_updated_at", updated_at)
+        out = out.withColumn(UPDATED_AT, updated_at)
     return out
 
 
