@@ -372,3 +372,25 @@ def test_hot_date_split_gives_the_same_pairs(spark):
     split = {tuple(r) for r in pairwise_correlation(rets, pairs_per_task=400, materialize=False).collect()}  # k=15 on the hot date
     assert len(whole) == 300 * 299 // 2
     assert whole == split
+
+
+def test_chart_stream_equals_batch_staging(spark, tmp_path):
+    from tidemark.sources.landing import write_landing
+    from tidemark.streaming.landing_stream import stage_chart_stream
+
+    d0 = ms(D(2025, 1, 1), 0)
+    day = 86_400_000
+    docs = []
+    for k in range(4):  # overlapping fetches, later ones correct the earlier values
+        pts = [[d0 + i * day, 100.0 + k + i] for i in range(k, k + 5)]
+        payload = {"prices": pts, "total_volumes": [[t, 1.0] for t, _ in pts], "market_caps": [[t, 2.0] for t, _ in pts]}
+        docs.append(chart_doc("coin", payload, TS(2025, 2, 1) + dt.timedelta(hours=k)))
+    raw = spark.createDataFrame(docs, RAW_CHART)
+    landing = str(tmp_path / "landing")
+    write_landing(raw.repartition(4), landing, "chart")
+    staging = str(tmp_path / "staging")
+    stage_chart_stream(spark, f"{landing}/chart", staging, str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    got = spark.read.parquet(staging).drop("part")
+    want = stage_market_chart(raw).select(*got.columns)
+    assert got.count() == 8
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -47,3 +47,20 @@ def test_job_full_then_incremental(spark, sf_dir, tmp_path):
     for name in ("dim_assets", "dim_dates", "fact_daily_prices", "relative_performance",
                  "asset_performance_summary_latest", "volatility_correlation_summary"):
         assert spark.read.parquet(f"{wh}/marts/{name}").count() > 0, name
+
+    # Ad-hoc SQL over the written tables, as in the reference's written analyses.
+    from tidemark.plans.views import register_views
+
+    assert "asset_performance_summary_latest" in register_views(spark, wh)
+    best = spark.sql(
+        "SELECT symbol, asset_return_365d AS return_365d, btc_return_365d, outperformance_vs_btc_365d "
+        "FROM asset_performance_summary_latest ORDER BY outperformance_vs_btc_365d DESC"
+    ).collect()
+    assert best and best[0]["outperformance_vs_btc_365d"] == max(r["outperformance_vs_btc_365d"] for r in best)
+    dca = spark.sql(
+        "SELECT SUM(100 / close_price) AS units FROM fact_daily_prices "
+        "WHERE symbol = '2-HIGH' AND EXTRACT(DAY FROM price_date) = 13 AND price_date <= DATE '2001-02-13'"
+    ).first()
+    assert dca["units"] > 0
+    vols = spark.sql("SELECT symbol, relative_volatility_365d_vs_btc FROM asset_performance_summary_latest").collect()
+    assert len(vols) == len(best)

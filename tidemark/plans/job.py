@@ -72,6 +72,7 @@ def run(
     lookback_days: int = LOOKBACK_DAYS,
     run_id: str = "manual",
     registry: DataFrame | None = None,
+    rolling_method: str = "frames",
 ) -> dict[str, int]:
     load_raw(spark, landing, wh, run_id)
     stg_bars, stg_chart = build_staging(spark, wh, full)
@@ -86,7 +87,7 @@ def run(
         updated_at=updated,
     )
     fact = _overwrite(fact, f"{wh}/marts/fact_daily_prices")
-    rolling = _overwrite(rolling_performance(fact, lookback_days=lookback_days), f"{wh}/marts/rolling_performance")
+    rolling = _overwrite(rolling_performance(fact, lookback_days=lookback_days, method=rolling_method), f"{wh}/marts/rolling_performance")
     rel = _overwrite(relative.relative_performance(rolling, benchmark), f"{wh}/marts/relative_performance")
     _overwrite(relative.latest_summary(rel), f"{wh}/marts/asset_performance_summary_latest")
     _overwrite(relative.ranked_summary(rolling, benchmark), f"{wh}/marts/asset_performance_summary")
@@ -114,9 +115,11 @@ def main(argv=None) -> None:
     p.add_argument("--benchmark", default=BENCHMARK)
     p.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
     p.add_argument("--run-id", default="manual")
+    p.add_argument("--rolling-method", choices=("frames", "prefix"), default="frames")
     a = p.parse_args(argv)
     spark = build_session()
-    failing = run(spark, a.landing, a.warehouse, a.as_of, a.full_refresh, a.benchmark, a.lookback_days, a.run_id)
+    failing = run(spark, a.landing, a.warehouse, a.as_of, a.full_refresh, a.benchmark, a.lookback_days, a.run_id,
+                  rolling_method=a.rolling_method)
     bad = {k: v for k, v in failing.items() if v}
     if bad:
         raise SystemExit(f"data checks failed: {bad}")

@@ -15,35 +15,42 @@ exactly-once bookkeeping in the checkpoint.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from tidemark.operators.staging import BAR_VALUE_COLUMNS, stage_bars
+from tidemark.operators.staging import BAR_VALUE_COLUMNS, stage_bars, stage_market_chart
 from tidemark.plans.upsert import month_partition, upsert
-from tidemark.schemas import RAW_BARS
+from tidemark.schemas import RAW_BARS, RAW_CHART
 
 
-def stage_bars_stream(
+def stage_stream(
     spark: SparkSession,
     landing_dir: str,
+    schema: StructType,
+    stage: Callable[[DataFrame], DataFrame],
+    order_desc: Sequence[str],
     staging_path: str,
     checkpoint_dir: str,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
 ):
-    """Start (and, with ``available_now``, finish) the landing -> staging stream."""
-    reader = spark.readStream.schema(RAW_BARS)
+    """Start (and, with ``available_now``, finish) a landing -> staging stream
+    for one source: ``stage`` turns a micro-batch of documents into staging
+    rows, which are merged on (symbol, price_date), newest ``order_desc`` wins."""
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.json(landing_dir)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        staged = stage_bars(batch)
         upsert(
             batch.sparkSession,
             staging_path,
-            staged,
+            stage(batch),
             ["symbol", "price_date"],
-            ["__de_processed_at", *BAR_VALUE_COLUMNS],
+            list(order_desc),
             month_partition("price_date"),
             prefer="latest",
             sort_cols=["symbol", "price_date"],
@@ -55,3 +62,19 @@ def stage_bars_stream(
     if available_now:
         query.awaitTermination()
     return query
+
+
+def stage_bars_stream(spark: SparkSession, landing_dir: str, staging_path: str, checkpoint_dir: str, **kw):
+    """ST2 for nested bar documents."""
+    return stage_stream(
+        spark, landing_dir, RAW_BARS, stage_bars, ["__de_processed_at", *BAR_VALUE_COLUMNS],
+        staging_path, checkpoint_dir, **kw,
+    )
+
+
+def stage_chart_stream(spark: SparkSession, landing_dir: str, staging_path: str, checkpoint_dir: str, **kw):
+    """ST2 for chart documents with a JSON payload."""
+    return stage_stream(
+        spark, landing_dir, RAW_CHART, stage_market_chart,
+        ["__de_processed_at", "close_price", "volume", "market_cap"], staging_path, checkpoint_dir, **kw,
+    )
