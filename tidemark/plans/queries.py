@@ -37,6 +37,11 @@ DUP_ORDER = [
 ]
 
 
+def _naive_audit(df: DataFrame) -> DataFrame:
+    """Ingestion time as UTC wall-clock (timestamp_ntz), the oracle's naive type."""
+    return df.withColumn("__de_processed_at", F.col("__de_processed_at").cast("timestamp_ntz"))
+
+
 def register(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,12 +66,12 @@ def daily_bars(spark, sf_dir):
 
 @register("stage_nested_bars")  # M1, ARR1, J8, F1-F2, PF1, PF4, WIN1
 def stage_nested_bars(spark, sf_dir):
-    return stage_bars(fx.raw_nested(spark, sf_dir))
+    return _naive_audit(stage_bars(fx.raw_nested(spark, sf_dir)))
 
 
 @register("stage_json_chart")  # M2, ARR2-3, JS1-3, F3-F4, J9, PF5, PF10
 def stage_json_chart(spark, sf_dir):
-    return stage_market_chart(fx.raw_chart(spark, sf_dir))
+    return _naive_audit(stage_market_chart(fx.raw_chart(spark, sf_dir)))
 
 
 @register("dedupe_latest")  # WIN1, PF9, S3
@@ -321,4 +326,4 @@ def stream_landing(spark, sf_dir):
     write_landing(fx.raw_nested(spark, sf_dir).repartition(4, "symbol"), root, "bars")
     staging = scratch_path(spark, "stream-staging")
     stage_bars_stream(spark, f"{root}/bars", staging, scratch_path(spark, "stream-checkpoint"), max_files_per_trigger=1)
-    return spark.read.parquet(staging).drop("part")
+    return _naive_audit(spark.read.parquet(staging).drop("part"))
