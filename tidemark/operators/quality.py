@@ -98,17 +98,24 @@ def single_scan(df: DataFrame, failing: Mapping[str, Column]) -> DataFrame:
 
 
 def run_checks(
-    checks: Mapping[str, Callable[[], DataFrame]], out_dir: str | None = None
+    checks: Mapping[str, Callable[[], DataFrame]], out_dir: str | None = None, threads: int = 1
 ) -> dict[str, int]:
-    """Evaluate checks; write each non-empty failing set to
-    ``<out_dir>/test_results/<name>`` (SNK8). Returns failing-row counts."""
-    counts = {}
-    for name, make in checks.items():
+    """Evaluate checks, ``threads`` at a time as concurrent Spark jobs; write
+    each failing set to ``<out_dir>/test_results/<name>`` (SNK8). Returns
+    failing-row counts (only counts reach the driver)."""
+
+    def one(name: str, make: Callable[[], DataFrame]) -> int:
         failing = make()
         if out_dir:
             path = f"{out_dir.rstrip('/')}/test_results/{name}"
             failing.write.mode("overwrite").parquet(path)
-            counts[name] = failing.sparkSession.read.parquet(path).count()
-        else:
-            counts[name] = failing.count()
-    return counts
+            return failing.sparkSession.read.parquet(path).count()
+        return failing.count()
+
+    if threads <= 1:
+        return {name: one(name, make) for name, make in checks.items()}
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = {name: pool.submit(one, name, make) for name, make in checks.items()}
+        return {name: f.result() for name, f in futures.items()}

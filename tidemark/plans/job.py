@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,7 @@ def run(
     run_id: str = "manual",
     registry: DataFrame | None = None,
     rolling_method: str = "frames",
+    threads: int = 4,
 ) -> dict[str, int]:
     load_raw(spark, landing, wh, run_id)
     stg_bars, stg_chart = build_staging(spark, wh, full)
@@ -87,13 +89,31 @@ def run(
         updated_at=updated,
     )
     fact = _overwrite(fact, f"{wh}/marts/fact_daily_prices")
-    rolling = _overwrite(rolling_performance(fact, lookback_days=lookback_days, method=rolling_method), f"{wh}/marts/rolling_performance")
-    rel = _overwrite(relative.relative_performance(rolling, benchmark), f"{wh}/marts/relative_performance")
-    _overwrite(relative.latest_summary(rel), f"{wh}/marts/asset_performance_summary_latest")
-    _overwrite(relative.ranked_summary(rolling, benchmark), f"{wh}/marts/asset_performance_summary")
-    _overwrite(
-        correlation.volatility_correlation_summary(fact, lookback_days), f"{wh}/marts/volatility_correlation_summary"
+    rolling = _overwrite(
+        rolling_performance(fact, lookback_days=lookback_days, method=rolling_method), f"{wh}/marts/rolling_performance"
     )
+
+    def relative_marts() -> DataFrame:
+        rel = _overwrite(relative.relative_performance(rolling, benchmark), f"{wh}/marts/relative_performance")
+        _overwrite(relative.latest_summary(rel), f"{wh}/marts/asset_performance_summary_latest")
+        return rel
+
+    # Independent marts run as concurrent Spark jobs (the reference builds its
+    # model graph with 4 threads); each one reads the written fact or rolling table.
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        rel_f = pool.submit(relative_marts)
+        ranked_f = pool.submit(
+            lambda: _overwrite(relative.ranked_summary(rolling, benchmark), f"{wh}/marts/asset_performance_summary")
+        )
+        corr_f = pool.submit(
+            lambda: _overwrite(
+                correlation.volatility_correlation_summary(fact, lookback_days),
+                f"{wh}/marts/volatility_correlation_summary",
+            )
+        )
+        rel = rel_f.result()
+        ranked_f.result()
+        corr_f.result()
     checks = {
         "fact_unique_symbol_date": lambda: quality.unique_combination(fact, ["symbol", "price_date"]),
         "fact_price_key_unique": lambda: quality.unique(fact, "price_key"),
@@ -103,7 +123,7 @@ def run(
         "relative_no_benchmark": lambda: quality.not_in_set(rel, "symbol", [benchmark]),
         "data_gap_threshold": lambda: quality.gap_share(fact),
     }
-    return quality.run_checks(checks, wh)
+    return quality.run_checks(checks, wh, threads=threads)
 
 
 def main(argv=None) -> None:
@@ -116,10 +136,11 @@ def main(argv=None) -> None:
     p.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
     p.add_argument("--run-id", default="manual")
     p.add_argument("--rolling-method", choices=("frames", "prefix"), default="frames")
+    p.add_argument("--threads", type=int, default=4, help="marts and checks built concurrently")
     a = p.parse_args(argv)
     spark = build_session()
     failing = run(spark, a.landing, a.warehouse, a.as_of, a.full_refresh, a.benchmark, a.lookback_days, a.run_id,
-                  rolling_method=a.rolling_method)
+                  rolling_method=a.rolling_method, threads=a.threads)
     bad = {k: v for k, v in failing.items() if v}
     if bad:
         raise SystemExit(f"data checks failed: {bad}")
