@@ -5,7 +5,6 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.correlation import pairwise_correlation, volatility_stats
 from tidemark.operators.dims import dim_assets, dim_dates
@@ -394,3 +393,22 @@ def test_chart_stream_equals_batch_staging(spark, tmp_path):
     want = stage_market_chart(raw).select(*got.columns)
     assert got.count() == 8
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+# ---------------------------------------------------------------- checks
+
+
+def test_quality_checks_pass_and_fail(spark):
+    from tidemark.operators import quality
+
+    df = spark.createDataFrame([(i, "a" if i % 2 else "b", float(i)) for i in range(10)], "id int, s string, v double")
+    assert quality.row_count_between(df, 1, 20).count() == 0
+    assert quality.row_count_between(df, 11).first()["row_count"] == 10
+    assert quality.distinct_count_equal(df, "s", 2).count() == 0
+    assert quality.distinct_count_equal(df, "s", 3, approximate=True).first()["distinct_count"] == 2
+    assert quality.values_between(df, "v", 0, 8).count() == 1
+    assert quality.accepted_values(df, "s", ["a"]).count() == 5
+    assert quality.not_in_set(df, "s", ["a"]).count() == 5
+    assert quality.unique(df, "s").count() == 2 and quality.unique(df, "id").count() == 0
+    one = quality.single_scan(df, {"neg": F.col("v") < 0, "big": F.col("v") > 5}).first()
+    assert (one["row_count"], one["neg"], one["big"]) == (10, 0, 4)

@@ -55,7 +55,3 @@ REFERENCE_ASSETS = [
 
 ASSET_TYPES = ("stock", "index", "forex", "crypto")
 ASSET_CLASSES = ("equity", "index", "fx", "crypto")
-
-
-def window_label(n: int) -> str:
-    return f"{n}d"

@@ -83,10 +83,6 @@ def pair_value(pair: str | Column, index: int) -> Column:
     return F.get(col_(pair), index).try_cast("double")
 
 
-def rounded(c: str | Column, places: int) -> Column:
-    return F.round(col_(c), places)
-
-
 def calendar_columns(day: str | Column) -> dict[str, Column]:
     """Calendar attributes of a date column (Sunday = 1 .. Saturday = 7, ISO week)."""
     d = col_(day)

@@ -18,6 +18,7 @@ from tidemark.functions.columns import (
 def _null_double():
     return F.lit(None).cast("double")
 
+
 COMBINED_COLUMNS = [
     "symbol",
     "price_date",
@@ -31,28 +32,6 @@ COMBINED_COLUMNS = [
     "__run_id",
 ]
 
-FACT_COLUMNS = [
-    "price_key",
-    "asset_key",
-    "date_key",
-    "symbol",
-    "asset_type",
-    "price_date",
-    "close_price",
-    "open_price",
-    "high_price",
-    "low_price",
-    "volume",
-    "market_cap",
-    "daily_return",
-    "prev_close_price",
-    "intraday_range_pct",
-    "days_since_prev",
-    "has_data_gap",
-    "__run_id",
-    "__de_processed_at",
-]
-
 
 def _audit(df: DataFrame) -> list[Column]:
     out = []
