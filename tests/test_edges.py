@@ -412,3 +412,17 @@ def test_quality_checks_pass_and_fail(spark):
     assert quality.unique(df, "s").count() == 2 and quality.unique(df, "id").count() == 0
     one = quality.single_scan(df, {"neg": F.col("v") < 0, "big": F.col("v") > 5}).first()
     assert (one["row_count"], one["neg"], one["big"]) == (10, 0, 4)
+
+
+def test_calendar_windows_differ_from_row_windows_only_across_gaps(spark):
+    # daily rows on days 1-10, then one row on day 20
+    rows = [("A", D(2025, 1, d), 100.0 + d) for d in list(range(1, 11)) + [20]]
+    fact = with_returns(combine_sources(bars_source(bars(spark, rows)))).withColumn("asset_type", F.lit("t"))
+    by_rows = {r["price_date"]: r for r in rolling_performance(fact, windows=(7,), lookback_days=None).collect()}
+    by_days = {r["price_date"]: r for r in
+               rolling_performance(fact, windows=(7,), lookback_days=None, unit="calendar").collect()}
+    for d in range(1, 11):  # no gap yet: identical
+        assert by_rows[D(2025, 1, d)]["return_7d"] == by_days[D(2025, 1, d)]["return_7d"]
+    last_rows, last_days = by_rows[D(2025, 1, 20)], by_days[D(2025, 1, 20)]
+    assert last_rows["obs_7d"] == 7 and last_rows["return_7d"] == round((120 - 105) / 105, 6)  # days 5-10 and 20
+    assert last_days["obs_7d"] == 1 and last_days["return_7d"] == 0.0  # only itself within 7 days

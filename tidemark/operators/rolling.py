@@ -20,14 +20,23 @@ def lookback(df: DataFrame, anchor: DataFrame, days: int = LOOKBACK_DAYS) -> Dat
     return df.where(F.col("price_date") >= F.date_sub(latest, days))
 
 
-def _frame_aggregates(base: DataFrame, windows: Sequence[int]) -> DataFrame:
-    """first close, sample stddev and count of returns over each ROWS frame.
+def _frame_aggregates(base: DataFrame, windows: Sequence[int], unit: str = "rows") -> DataFrame:
+    """first close, sample stddev and count of returns over each frame:
+    the last N observations (``unit="rows"``) or the last N calendar days
+    (``unit="calendar"``, a RANGE frame over the day number).
 
     Spark re-aggregates a sliding frame for every row: O(rows x window)."""
-    w = Window.partitionBy("symbol").orderBy("price_date")
+    if unit == "calendar":
+        base = base.withColumn("__day", F.unix_date("price_date"))
+        w = Window.partitionBy("symbol").orderBy("__day")
+    else:
+        w = Window.partitionBy("symbol").orderBy("price_date")
     aggs = []
     for n in windows:
-        frame = w.rowsBetween(-(n - 1), Window.currentRow)
+        if unit == "calendar":
+            frame = w.rangeBetween(-(n - 1), Window.currentRow)
+        else:
+            frame = w.rowsBetween(-(n - 1), Window.currentRow)
         aggs += [
             F.first("close_price").over(frame).alias(f"__first_{n}"),
             F.stddev_samp("daily_return").over(frame).alias(f"__sd_{n}"),
@@ -77,6 +86,7 @@ def rolling_performance(
     lookback_days: int | None = LOOKBACK_DAYS,
     trading_days: int = TRADING_DAYS,
     method: str = "frames",
+    unit: str = "rows",
 ) -> DataFrame:
     """Per symbol and date: simple return, annualised volatility and the count
     of returns over the last N observations (ROWS frames), for each N.
@@ -92,14 +102,22 @@ def rolling_performance(
     values from running totals in O(1) per row instead of O(window); first
     close and counts are identical, volatilities agree to floating-point
     rounding (see ``_prefix_aggregates``).
+
+    ``unit="rows"`` (default, the reference's code) counts observations;
+    ``unit="calendar"`` uses the last N calendar days instead (what the
+    reference's documentation describes); it differs where series have gaps.
     """
+    if unit not in ("rows", "calendar"):
+        raise ValueError(f"unit must be 'rows' or 'calendar', not {unit!r}")
+    if unit == "calendar" and method != "frames":
+        raise ValueError("calendar windows are evaluated with method='frames'")
     base = fact.where(F.col("close_price").isNotNull()).select(
         "symbol", "asset_type", "price_date", "close_price", "daily_return"
     )
     ann = F.sqrt(F.lit(float(trading_days)))
     # Every window aggregate is computed once (one sort, Window operators over
     # the same partitioning); returns and volatilities are projections over them.
-    framed = _prefix_aggregates(base, windows) if method == "prefix" else _frame_aggregates(base, windows)
+    framed = _prefix_aggregates(base, windows) if method == "prefix" else _frame_aggregates(base, windows, unit)
     close = F.col("close_price")
     out = framed.select(
         "symbol",
