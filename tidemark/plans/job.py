@@ -94,7 +94,11 @@ def run(
     )
 
     def relative_marts() -> DataFrame:
-        rel = _overwrite(relative.relative_performance(rolling, benchmark), f"{wh}/marts/relative_performance")
+        # After the look-back, the benchmark has at most one row per day and source.
+        rel = _overwrite(
+            relative.relative_performance(rolling, benchmark, benchmark_rows_bound=2 * (lookback_days + 1)),
+            f"{wh}/marts/relative_performance",
+        )
         _overwrite(relative.latest_summary(rel), f"{wh}/marts/asset_performance_summary_latest")
         return rel
 

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.constants import LOOKBACK_DAYS
 from tidemark.operators import analysis, correlation, quality, relative
 from tidemark.operators.dims import dim_assets as _dim_assets
 from tidemark.operators.dims import dim_dates as _dim_dates
@@ -133,8 +134,14 @@ def rolling_performance(spark, sf_dir):
     return _orders_rolling(spark, sf_dir)
 
 
+# The rolling output covers a look-back of LOOKBACK_DAYS: at most one benchmark row per day.
+BENCH_ROWS = LOOKBACK_DAYS + 1
+
+
 def _orders_relative(spark, sf_dir):
-    return relative.relative_performance(_orders_rolling(spark, sf_dir), benchmark=fx.ORDERS_BENCHMARK)
+    return relative.relative_performance(
+        _orders_rolling(spark, sf_dir), benchmark=fx.ORDERS_BENCHMARK, benchmark_rows_bound=BENCH_ROWS
+    )
 
 
 @register("relative_performance")  # M11-M12, J4, PF7
@@ -184,7 +191,7 @@ def dollar_cost_average(spark, sf_dir):
 def best_by_period(spark, sf_dir):
     star = orders_star(spark, sf_dir)
     summary = relative.latest_summary(
-        relative.relative_performance(_rolling(star.fact), benchmark=fx.ORDERS_BENCHMARK)
+        relative.relative_performance(_rolling(star.fact), benchmark=fx.ORDERS_BENCHMARK, benchmark_rows_bound=BENCH_ROWS)
     )
     ytd = analysis.year_to_date(star.fact, benchmark=fx.ORDERS_BENCHMARK)
     return analysis.best_by_period(summary, ytd)

@@ -20,9 +20,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, probe: DataFrame | None = None, factor: int = 1
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    probe: DataFrame | None = None,
+    factor: int = 1,
+    known_bound: int | None = None,
 ) -> DataFrame:
-    """Broadcast ``df`` if ``probe`` (default ``df``) has at most max_rows / factor rows."""
+    """Broadcast ``df`` if ``probe`` (default ``df``) has at most max_rows / factor rows.
+
+    ``known_bound`` is an upper bound on the rows of ``df`` that holds by
+    construction (e.g. a literal list, or one row per day of a fixed window);
+    when it is within the limit no counting job is needed.
+    """
+    if known_bound is not None and known_bound <= max_rows:
+        return F.broadcast(df)
     target = probe if probe is not None else df
     if row_count_at_most(target, max(max_rows // max(factor, 1), 0)):
         return F.broadcast(df)

@@ -29,12 +29,14 @@ def build_star(
     stg_bars: DataFrame,
     stg_chart: DataFrame | None = None,
     as_of: str | None = None,
+    registry_rows: int | None = None,
 ) -> Star:
     staged = [stg_bars] + ([stg_chart] if stg_chart is not None else [])
     assets = dim_assets(registry, *staged)
     dates = dim_dates(assets, as_of=as_of)
     # dim_assets has at most one row per (registry row, source): the registry bounds it.
-    assets_side = bounded_broadcast(assets, probe=registry, factor=len(staged))
+    known = registry_rows * len(staged) if registry_rows is not None else None
+    assets_side = bounded_broadcast(assets, probe=registry, factor=len(staged), known_bound=known)
     sources = [bars_source(stg_bars)] + ([chart_source(stg_chart)] if stg_chart is not None else [])
     fact = fact_daily_prices(combine_sources(*sources), assets_side, dates)
     return Star(registry, assets, dates, fact)
@@ -44,7 +46,7 @@ def orders_star(spark: SparkSession, sf_dir: str, with_events: bool = False) ->
     """Star over the order-priority bars, optionally with the event bars as a second source."""
     reg = fx.registry(spark)
     chart = fx.chart_events(spark, sf_dir) if with_events else None
-    return build_star(reg, fx.bars_orders(spark, sf_dir), chart, as_of=fx.AS_OF)
+    return build_star(reg, fx.bars_orders(spark, sf_dir), chart, as_of=fx.AS_OF, registry_rows=len(fx.DRIVER_REGISTRY))
 
 
 def brands_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
