@@ -103,17 +103,20 @@ def global_ranks(
     nulls_first: bool | None = None,
     partitions: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add one RANK() column per (key, rank_col, ascending) spec.
 
     Null placement follows Spark's default unless ``nulls_first`` is given
-    (ascending: nulls first; descending: nulls last).
+    (ascending: nulls first; descending: nulls last). Pass
+    ``materialize=False`` when ``df`` is already read from a checkpoint or a
+    written table.
     """
     spark = df.sparkSession
     scratch_root(spark)  # make sure a checkpoint folder is set (tests)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The upstream runs once; every later read comes from the checkpoint.
-    out = df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True) if materialize else df
     if out.limit(single_task_rows + 1).count() <= single_task_rows:
         for key, rank_col, ascending in specs:
             order = _sort_expr(key, ascending, nulls_first)
