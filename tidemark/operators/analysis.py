@@ -134,4 +134,4 @@ def rank_by_excess(summary: DataFrame, n: int = 365, prefix: str = "btc") -> Dat
 def relative_volatility(summary: DataFrame, n: int = 365, prefix: str = "btc") -> DataFrame:
     """Each symbol's volatility as a share of the benchmark's, also in percent."""
     ratio = F.col(f"relative_volatility_{n}d_vs_{prefix}")
-    return summary.select("symbol", ratio, (ratio * 100).alias("pct_of_benchmark")).orderBy(ratio)
+    return summary.select("symbol", ratio, (ratio * 100).alias("pct_of_benchmark"))

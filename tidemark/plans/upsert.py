@@ -54,10 +54,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write(df: DataFrame, path: str, partition_col: str, mode: str, dynamic: bool, sort_cols: Sequence[str]) -> None:
-    # Range partitioning on (partition, cluster keys): a hot partition is
-    # split across tasks, and files hold contiguous key runs (min/max skipping).
+    # REBALANCE on the partition column: one shuffle, AQE splits an oversized
+    # (hot) partition over several writer tasks and merges small ones, with no
+    # extra sampling pass over the input; files are sorted by the cluster keys
+    # (parquet min/max statistics then skip other symbols).
     writer = (
-        df.repartitionByRange(partition_col, *sort_cols)
+        df.hint("rebalance", partition_col)
         .sortWithinPartitions(partition_col, *sort_cols)
         .write.mode(mode)
         .partitionBy(partition_col)

@@ -106,12 +106,12 @@ def write_landing(docs: DataFrame, root: str, source: str) -> None:
 def append_raw(docs: DataFrame, table_path: str, id_column: str = "symbol") -> None:
     """SNK2: append to a raw table partitioned by ingestion day, clustered by id.
 
-    A daily load is a single ingestion day, so hashing on the day alone would
-    give one writer task; range partitioning on (day, id) spreads a day over
-    all tasks while each file still holds a contiguous run of ids."""
+    A daily load is a single ingestion day; REBALANCE on the day lets AQE
+    split that one hot partition over many writer tasks (and merge small
+    ones) without a sampling pass, and files are sorted by id."""
     out = docs.withColumn("ingest_date", F.to_date("__de_processed_at"))
     (
-        out.repartitionByRange("ingest_date", id_column)
+        out.hint("rebalance", "ingest_date")
         .sortWithinPartitions("ingest_date", id_column)
         .write.mode("append")
         .partitionBy("ingest_date")
