@@ -72,3 +72,20 @@ def test_pairwise_correlation_is_an_equi_join_not_a_nested_loop(spark, sf_dir):
     tree = main_tree(explain(Q["pairwise_correlation"](spark, sf_dir)))
     assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree
     assert "SortMergeJoin" in tree or "BroadcastHashJoin" in tree
+
+
+def test_bounded_broadcast_falls_back_to_a_shuffle_join(spark):
+    from tidemark.plans.sizing import bounded_broadcast
+
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 50).withColumnRenamed("id", "k")
+    hinted = explain(big.join(bounded_broadcast(small, max_rows=100), "k"))
+    assert "BroadcastHashJoin" in main_tree(hinted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = explain(big.join(bounded_broadcast(small, max_rows=10), "k"))
+        assert "BroadcastHashJoin" not in main_tree(plain) and "SortMergeJoin" in main_tree(plain)
+        known = explain(big.join(bounded_broadcast(small, max_rows=100, known_bound=60), "k"))
+        assert "BroadcastHashJoin" in main_tree(known)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

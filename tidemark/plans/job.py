@@ -1,7 +1,8 @@
 """End-to-end batch run: landed files -> raw -> staging -> star -> marts -> checks.
 
-    spark-submit -m tidemark.plans.job --landing s3://.../raw --warehouse s3://.../wh \
-        --as-of 2026-03-13 [--full-refresh] [--benchmark bitcoin] [--lookback-days 365]
+    spark-submit --py-files tidemark.zip tidemark/plans/job.py --landing <landing dir> \
+        --warehouse <warehouse dir> --as-of 2026-03-13 [--full-refresh] [--benchmark bitcoin]
+        [--lookback-days 365] [--rolling-method frames|prefix] [--threads 4]
 
 Each layer is written before the next reads it: the written table cuts the
 lineage (an executor lost later never re-runs earlier layers) and every
