@@ -85,3 +85,19 @@ def test_landing_write_appends(spark, tmp_path):
     write_landing(docs, root, "bars")
     write_landing(docs, root, "bars")
     assert spark.read.json(f"{root}/bars").count() == 2
+
+
+def test_export_json_roundtrip(spark, tmp_path):
+    from tidemark.sources.landing import export_json
+
+    df = spark.createDataFrame(
+        [("A", dt.date(2025, 1, 2), 1.5, dt.datetime(2025, 1, 3, 4, 5, 6))],
+        "symbol string, price_date date, close_price double, updated timestamp",
+    )
+    out = str(tmp_path / "export")
+    export_json(df, out)
+    line = json.loads(open(next(p for p in (tmp_path / "export").glob("part-*.json"))).readline())
+    assert line["symbol"] == "A" and line["price_date"] == "2025-01-02" and line["close_price"] == 1.5
+    assert line["updated"] == "2025-01-03 04:05:06.000000 UTC"
+    back = spark.read.schema(df.schema.simpleString()[7:-1].replace(":", " ")).json(out)
+    assert back.select("symbol", "price_date", "close_price").collect() == df.select("symbol", "price_date", "close_price").collect()
