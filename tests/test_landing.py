@@ -101,3 +101,18 @@ def test_export_json_roundtrip(spark, tmp_path):
     assert line["updated"] == "2025-01-03 04:05:06.000000 UTC"
     back = spark.read.schema(df.schema.simpleString()[7:-1].replace(":", " ")).json(out)
     assert back.select("symbol", "price_date", "close_price").collect() == df.select("symbol", "price_date", "close_price").collect()
+
+
+def test_job_loads_only_the_listed_landed_files(spark, tmp_path):
+    from tidemark.plans.job import load_raw
+
+    root = str(tmp_path / "landing")
+    doc = {"symbol": "A", "results": [], "__de_processed_at": "2025-03-07T12:56:24Z"}
+    p1 = _land(root, "bars", "A", "2025-03-06", "2025-03-07", "20250307T125624", doc)
+    _land(root, "bars", "B", "2025-03-06", "2025-03-07", "20250307T125700", {**doc, "symbol": "B"})
+    chart = {"coin_id": "c", "raw_json": "{}", "__de_processed_at": "2025-03-07T12:56:24Z"}
+    c1 = _land(root, "chart", "c", "2025-03-06", "2025-03-07", "20250307T125624", chart)
+    wh = str(tmp_path / "wh")
+    load_raw(spark, root, wh, "run-1", bars_files=[p1], chart_files=[c1])
+    assert [r["symbol"] for r in spark.read.parquet(f"{wh}/raw/bars").collect()] == ["A"]
+    assert spark.read.parquet(f"{wh}/raw/chart").first()["__run_id"] == "run-1"

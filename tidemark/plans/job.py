@@ -36,10 +36,23 @@ def _overwrite(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def load_raw(spark: SparkSession, landing: str, wh: str, run_id: str) -> None:
-    """Step 7 of the reference run: landed JSON -> append-only raw tables."""
-    bars = read_raw_bars(spark, f"{landing}/bars").withColumn("__run_id", F.coalesce("__run_id", F.lit(run_id)))
-    chart = read_raw_chart(spark, f"{landing}/chart").withColumn("__run_id", F.coalesce("__run_id", F.lit(run_id)))
+def load_raw(
+    spark: SparkSession,
+    landing: str,
+    wh: str,
+    run_id: str,
+    bars_files: list[str] | None = None,
+    chart_files: list[str] | None = None,
+) -> None:
+    """Step 7 of the reference run: landed JSON -> append-only raw tables.
+
+    SRC3: pass the exact files a fetch produced (``bars_files``,
+    ``chart_files``) to load only those; otherwise the source folders under
+    ``landing`` are read."""
+    bars_in = bars_files or f"{landing}/bars"
+    chart_in = chart_files or f"{landing}/chart"
+    bars = read_raw_bars(spark, bars_in).withColumn("__run_id", F.coalesce("__run_id", F.lit(run_id)))
+    chart = read_raw_chart(spark, chart_in).withColumn("__run_id", F.coalesce("__run_id", F.lit(run_id)))
     append_raw(bars, f"{wh}/raw/bars", "symbol")
     append_raw(chart, f"{wh}/raw/chart", "coin_id")
 
@@ -76,8 +89,10 @@ def run(
     registry: DataFrame | None = None,
     rolling_method: str = "frames",
     threads: int = 4,
+    bars_files: list[str] | None = None,
+    chart_files: list[str] | None = None,
 ) -> dict[str, int]:
-    load_raw(spark, landing, wh, run_id)
+    load_raw(spark, landing, wh, run_id, bars_files, chart_files)
     stg_bars, stg_chart = build_staging(spark, wh, full)
     reg = registry if registry is not None else spark.createDataFrame(REFERENCE_ASSETS, REGISTRY)
     updated = F.current_timestamp()
@@ -142,10 +157,14 @@ def main(argv=None) -> None:
     p.add_argument("--run-id", default="manual")
     p.add_argument("--rolling-method", choices=("frames", "prefix"), default="frames")
     p.add_argument("--threads", type=int, default=4, help="marts and checks built concurrently")
+    p.add_argument("--bars-files", default="", help="comma-separated landed bar files of this run")
+    p.add_argument("--chart-files", default="", help="comma-separated landed chart files of this run")
     a = p.parse_args(argv)
     spark = build_session()
     failing = run(spark, a.landing, a.warehouse, a.as_of, a.full_refresh, a.benchmark, a.lookback_days, a.run_id,
-                  rolling_method=a.rolling_method, threads=a.threads)
+                  rolling_method=a.rolling_method, threads=a.threads,
+                  bars_files=[f for f in a.bars_files.split(",") if f] or None,
+                  chart_files=[f for f in a.chart_files.split(",") if f] or None)
     bad = {k: v for k, v in failing.items() if v}
     if bad:
         raise SystemExit(f"data checks failed: {bad}")
