@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, prepare
+from tidemark.llm.common import Table, crc_mod, prepare
 
 ORDER = 4
 SAMPLE_BYTES = 2_000_000
@@ -47,35 +47,6 @@ def grams(data: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-class Table:
-    """Integer keys to row numbers by open addressing, looked up a whole array at a time."""
-
-    def __init__(self, keys: np.ndarray):
-        bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.rows = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
-        todo, at = np.arange(len(keys)), self.place(keys)
-        while len(todo):
-            free = self.rows[at] < 0
-            self.rows[at[free]] = todo[free]  # of several rows for one slot the last stays
-            self.keys[at[free]] = keys[todo[free]]
-            put = self.rows[at] == todo
-            todo, at = todo[~put], (at[~put] + 1) & self.mask
-
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        at = self.place(keys)
-        found = self.rows[at]
-        odd = np.flatnonzero((found >= 0) & (self.keys[at] != keys))
-        while len(odd):
-            at[odd] = (at[odd] + 1) & self.mask
-            found[odd] = self.rows[at[odd]]
-            odd = odd[(found[odd] >= 0) & (self.keys[at[odd]] != keys[odd])]
-        return found
-
-
 class Frozen:
     """Frozen code lengths of every language, one row per byte string seen in any of them."""
 

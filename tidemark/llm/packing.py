@@ -30,39 +30,12 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from tidemark.llm.common import cut, prepare
+from tidemark.llm.word_pieces import encoder
 
 SIZE = 2048
 BUCKETS = 256
-KNOWN = 300_000  # words whose ids a worker remembers
-
-_remembered: dict[str, dict[str, bytes]] = {}
-
-
-def word_ids(path: str):
-    """Ids of texts, as little-endian unsigned 32-bit bytes.
-
-    The tokenizer drops white space and neither its normalizer nor its splitter
-    looks across a plain space or line feed, so what stands between two of
-    them is encoded by the library once and remembered.
-    """
-    tokenizer = Tokenizer.from_file(path)
-    known = _remembered.setdefault(path, {})
-
-    def encode(texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(known) > KNOWN:
-            known.clear()
-        new = list({w for ws in words for w in ws} - known.keys())
-        for at in range(0, len(new), 20_000):
-            run = new[at : at + 20_000]
-            for w, e in zip(run, tokenizer.encode_batch_fast(run, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
-
-    return encode
 
 
 def pieces(documents: DataFrame, path: str, size: int) -> DataFrame:
@@ -70,7 +43,7 @@ def pieces(documents: DataFrame, path: str, size: int) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, step, end = word_ids(path), 4 * size, bytes(4)
+        encode, step, end = encoder(path), 4 * size, bytes(4)
         for batch in batches:
             if not batch.num_rows:
                 continue
