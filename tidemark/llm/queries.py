@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, packing, quality, token_counts
+from tidemark.llm import decontaminate, language_id, packing, quality, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(_table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(_table(spark, sf_dir, "pages"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -25,15 +29,24 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(_table(spark, sf_dir, "documents"))
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_url_filter": op3_url_filter,
     "op4_token_counts": op4_token_counts,
     "op5_quality_classifier": op5_quality_classifier,
+    "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_filter": url_filter.ORACLE_SQL,
+    "op9_decontaminate": decontaminate.ORACLE_SQL,
+}
