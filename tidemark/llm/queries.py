@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language_id, packing, quality, token_counts, url_filter
+from tidemark.llm import decontaminate, language_id, packing, quality, simhash, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +46,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_token_counts": op4_token_counts,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
 }
