@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language_id, packing, quality, simhash, token_counts, url_filter
+from tidemark.llm import decontaminate, language_id, packing, quality, simhash, token_counts, topk_search, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(_table(spark, sf_dir, "documents"))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.topk_search(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, sf_dir, "pages"))
 
@@ -43,6 +47,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_topk_search": op2_topk_search,
     "op3_url_filter": op3_url_filter,
     "op4_token_counts": op4_token_counts,
     "op5_quality_classifier": op5_quality_classifier,
@@ -52,6 +57,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_topk_search": topk_search.ORACLE_SQL,
     "op3_url_filter": url_filter.ORACLE_SQL,
     "op9_decontaminate": decontaminate.ORACLE_SQL,
 }
