@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language_id, packing, quality, simhash, token_counts, topk_search, url_filter
+from tidemark.llm import decontaminate, language_id, lm_scoring, packing, quality, simhash, token_counts, topk_search, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scoring(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +56,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
 }
