@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language_id, lm_scoring, packing, quality, simhash, token_counts, topk_search, url_filter
+from tidemark.llm import decontaminate, language_id, lm_scoring, packing, quality, simhash, substring_dedup, token_counts, topk_search, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_token_counts": op4_token_counts,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontaminate": op9_decontaminate,
