@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import Table
 
-KNOWN = 300_000  # words that a worker remembers
+KNOWN = 200_000  # words that a worker remembers
 LONGEST = 48  # bytes of a word that is merged in arrays
 NONE = np.int32(2**31 - 1)
 
