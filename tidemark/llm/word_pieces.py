@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import Table
 
-KNOWN = 200_000  # words that a worker remembers
+KNOWN = 400_000  # words that a worker remembers
 LONGEST = 48  # bytes of a word that is merged in arrays
 NONE = np.int32(2**31 - 1)
 
@@ -139,15 +139,19 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit bytes."""
         words = [t.replace("\n", " ").split(" ") if self.plain(t) else None for t in texts]
-        seen: set[str] = set()
-        for ws in words:
-            if ws:
-                seen.update(ws)
-        self.learn([w for w in seen if w not in self.known])
-        get = self.known.__getitem__
-        out = [b"".join(map(get, ws)) if ws is not None else self.by_library([t])[0] for t, ws in zip(texts, words)]
+        get = self.known.get
+        found = [list(map(get, ws)) if ws is not None else None for ws in words]
+        odd = [i for i, ids in enumerate(found) if ids is not None and None in ids]
+        new: set[str] = set()
+        for i in odd:
+            new.update([w for w, ids in zip(words[i], found[i]) if ids is None])
+        self.learn(list(new))
+        for i in odd:
+            found[i] = map(get, words[i])
+        out = [b"".join(ids) if ids is not None else self.by_library([t])[0] for t, ids in zip(texts, found)]
         if len(self.known) > KNOWN:  # frequent words are in this batch too
-            self.known = {w: self.known[w] for w in seen}
+            recent = {w for ws in words if ws is not None for w in ws}
+            self.known = {w: self.known[w] for w in recent}
         return out
 
 
