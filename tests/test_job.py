@@ -35,9 +35,10 @@ def test_job_full_then_incremental(spark, sf_dir, tmp_path):
     got_bars = rolling.where(F.col("symbol") != "1-URGENT")
     assert _digest(got_bars) == _digest(want.where(F.col("symbol") != "1-URGENT"))
 
-    # Incremental re-run over the same landing: raw rows are appended again,
-    # staging merges them away, marts do not change.
+    # Incremental re-run over the same landing: no file is loaded twice, marts do not change.
+    n_raw = spark.read.parquet(f"{wh}/raw/bars").count()
     job.run(spark, landing, wh, fx.AS_OF, full=False, benchmark=fx.ORDERS_BENCHMARK, registry=reg)
+    assert spark.read.parquet(f"{wh}/raw/bars").count() == n_raw
     assert spark.read.parquet(f"{wh}/staging/bars").count() == n_staged
     assert _digest(spark.read.parquet(f"{wh}/marts/rolling_performance")) == first
     summary = spark.read.parquet(f"{wh}/marts/asset_performance_summary")
@@ -48,19 +49,11 @@ def test_job_full_then_incremental(spark, sf_dir, tmp_path):
                  "asset_performance_summary_latest", "volatility_correlation_summary"):
         assert spark.read.parquet(f"{wh}/marts/{name}").count() > 0, name
 
-    # Ad-hoc SQL over the written tables, as in the reference's written analyses.
+    # Plain SQL over the written tables.
     from tidemark.plans.views import register_views
 
     assert "asset_performance_summary_latest" in register_views(spark, wh)
-    best = spark.sql(
-        "SELECT symbol, asset_return_365d AS return_365d, btc_return_365d, outperformance_vs_btc_365d "
-        "FROM asset_performance_summary_latest ORDER BY outperformance_vs_btc_365d DESC"
-    ).collect()
-    assert best and best[0]["outperformance_vs_btc_365d"] == max(r["outperformance_vs_btc_365d"] for r in best)
-    dca = spark.sql(
-        "SELECT SUM(100 / close_price) AS units FROM fact_daily_prices "
-        "WHERE symbol = '2-HIGH' AND EXTRACT(DAY FROM price_date) = 13 AND price_date <= DATE '2001-02-13'"
-    ).first()
-    assert dca["units"] > 0
-    vols = spark.sql("SELECT symbol, relative_volatility_365d_vs_btc FROM asset_performance_summary_latest").collect()
-    assert len(vols) == len(best)
+    closes = spark.sql("SELECT symbol, max_by(close_price, price_date) AS last_close FROM fact_daily_prices GROUP BY symbol").collect()
+    assert {r["symbol"] for r in closes} == {r["symbol"] for r in spark.table("fact_daily_prices").select("symbol").distinct().collect()}
+    known = spark.sql("SELECT count(*) AS n FROM asset_performance_summary_latest s LEFT ANTI JOIN dim_assets d ON s.symbol = d.symbol").first()
+    assert known["n"] == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.sizing import bounded_broadcast
 from tidemark.constants import GAP_DAYS, UPDATED_AT
 from tidemark.functions.columns import (
     days_between,
@@ -111,32 +112,40 @@ def combine_sources(*sources: DataFrame) -> DataFrame:
     return out
 
 
+def calendar_span(dates: DataFrame) -> Column:
+    """First and last day of a calendar that has every day between them, as one scalar subquery."""
+    return dates.select(F.struct(F.min("date_key").alias("lo"), F.max("date_key").alias("hi"))).scalar()
+
+
 def fact_daily_prices(
     sources: DataFrame,
     assets: DataFrame,
-    dates: DataFrame,
+    dates: DataFrame | None,
     gap_days: int = GAP_DAYS,
     updated_at: Column | None = None,
+    span: Column | None = None,
 ) -> DataFrame:
     """M5/M9: returns per (symbol, source) series, then the two dimension joins.
 
-    ``sources`` is the output of ``combine_sources``. The asset dimension is a
-    left join on symbol (hint it for broadcast upstream when its size is
-    checked). The date dimension is a dense calendar spine, so the left join
-    on its key equals a range test against its first and last day; that is
-    what we evaluate (two scalar subqueries), which keeps the fact out of any
-    shuffle on price_date.
+    ``sources`` is the output of ``combine_sources``. Both dimensions are left
+    joins on their keys: the asset dimension on symbol (hint it for broadcast
+    upstream when its size is checked), the date dimension on the date, so that
+    a date the calendar lacks gets no key. The calendar is broadcast if its
+    counted size allows, and joined by a shuffle otherwise.
     """
     returns = with_returns(sources, gap_days)
-    # One subquery for both ends of the calendar.
-    span = dates.select(F.struct(F.min("date_key").alias("lo"), F.max("date_key").alias("hi"))).scalar()
-    lo, hi = span.getField("lo"), span.getField("hi")
     asset_cols = assets.select(F.col("symbol").alias("__asset_symbol"), F.col("asset_type"))
     joined = returns.join(asset_cols, returns["symbol"] == asset_cols["__asset_symbol"], "left")
+    if span is None:
+        calendar = bounded_broadcast(dates.select(F.col("date_key").alias("__date_key")))
+        joined = joined.join(calendar, F.col("price_date") == F.col("__date_key"), "left")
+    else:
+        inside = F.col("price_date").between(span.getField("lo"), span.getField("hi"))
+        joined = joined.withColumn("__date_key", F.when(inside, F.col("price_date")))
     out = joined.select(
         surrogate_key("symbol", "price_date").alias("price_key"),
         F.col("__asset_symbol").alias("asset_key"),
-        F.when(F.col("price_date").between(lo, hi), F.col("price_date")).alias("date_key"),
+        F.col("__date_key").alias("date_key"),
         "symbol",
         "asset_type",
         "price_date",

@@ -8,6 +8,8 @@ failing rows of each to ``<out>/test_results/<name>`` (SNK8).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +66,13 @@ def distinct_count_equal(df: DataFrame, column: str, expected: int, approximate:
     return df.agg(agg.cast("long").alias("distinct_count")).where(F.col("distinct_count") != expected)
 
 
+def out_of_bounds(df: DataFrame, bounds: dict[str, tuple[str, float, float]], keys: Iterable[str]) -> DataFrame:
+    """QC11: rows with some value outside its bounds, in one scan; a flag column for each value (NULL stays NULL)."""
+    flags = {flag: (F.col(c) < low) | (F.col(c) > high) for c, (flag, low, high) in bounds.items()}
+    out = df.select(*keys, *[v.alias(k) for k, v in flags.items()])
+    return out.where(reduce(or_, [F.col(k) for k in flags]))
+
+
 def values_between(df: DataFrame, column: str, min_value=None, max_value=None) -> DataFrame:
     """QC8: rows whose value lies outside [min, max] (NULL passes)."""
     c = F.col(column)

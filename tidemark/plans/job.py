@@ -25,10 +25,10 @@ from tidemark.operators.facts import bars_source, chart_source, combine_sources,
 from tidemark.operators.rolling import rolling_performance
 from tidemark.operators.staging import BAR_VALUE_COLUMNS, stage_bars, stage_market_chart
 from tidemark.plans.sizing import bounded_broadcast
-from tidemark.plans.upsert import full_refresh, incremental_watermark, month_partition, upsert
-from tidemark.schemas import REGISTRY
-from tidemark.session import build_session
-from tidemark.sources.landing import append_raw, read_raw_bars, read_raw_chart, read_raw_since
+from tidemark.plans.upsert import full_refresh, incremental_watermark, month_partition, table_exists, upsert
+from tidemark.schemas import RAW_BARS, RAW_CHART, REGISTRY
+from tidemark.session import build_session, scratch_path
+from tidemark.sources.landing import append_raw, read_raw_since, read_with_rejects, with_audit
 
 
 def _overwrite(df: DataFrame, path: str) -> DataFrame:
@@ -44,17 +44,40 @@ def load_raw(
     bars_files: list[str] | None = None,
     chart_files: list[str] | None = None,
 ) -> None:
-    """Step 7 of the reference run: landed JSON -> append-only raw tables.
+    """Landed JSON -> append-only raw tables, each landed file once.
 
     SRC3: pass the exact files a fetch produced (``bars_files``,
     ``chart_files``) to load only those; otherwise the source folders under
-    ``landing`` are read."""
-    bars_in = bars_files or f"{landing}/bars"
-    chart_in = chart_files or f"{landing}/chart"
-    bars = read_raw_bars(spark, bars_in).withColumn("__run_id", F.coalesce("__run_id", F.lit(run_id)))
-    chart = read_raw_chart(spark, chart_in).withColumn("__run_id", F.coalesce("__run_id", F.lit(run_id)))
-    append_raw(bars, f"{wh}/raw/bars", "symbol")
-    append_raw(chart, f"{wh}/raw/chart", "coin_id")
+    ``landing`` are read. Files named in ``raw/<source>_files`` were loaded by
+    an earlier run and are left out either way. Lines that are no documents go
+    to ``rejected/<source>`` and fail the run before anything is appended."""
+    rejected = 0
+    loads = []
+    for source, paths, schema, key in (
+        ("bars", bars_files or f"{landing}/bars", RAW_BARS, "symbol"),
+        ("chart", chart_files or f"{landing}/chart", RAW_CHART, "coin_id"),
+    ):
+        docs, bad = read_with_rejects(spark, paths, schema)
+        done = f"{wh}/raw/{source}_files"
+        if table_exists(spark, done):
+            loaded = spark.read.parquet(done)
+            docs = docs.join(loaded, docs["__file"] == loaded["file_path"], "left_anti")
+            bad = bad.join(loaded, "file_path", "left_anti")
+        bad.write.mode("overwrite").parquet(f"{wh}/rejected/{source}")
+        rejected += spark.read.parquet(f"{wh}/rejected/{source}").count()
+        loads.append((source, docs, done, key))
+    if rejected:
+        raise ValueError(f"{rejected} landed lines are malformed; see {wh}/rejected")
+    for source, docs, done, key in loads:
+        # One read of the landed files for both tables: documents carry their file.
+        batch = cut_to(with_audit(docs, run_id), scratch_path(spark, f"landed-{source}"))
+        append_raw(batch.drop("__file"), f"{wh}/raw/{source}", key)
+        batch.select(F.col("__file").alias("file_path")).distinct().write.mode("append").parquet(done)
+
+
+def cut_to(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_staging(spark: SparkSession, wh: str, full: bool) -> tuple[DataFrame, DataFrame]:

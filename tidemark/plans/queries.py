@@ -232,7 +232,19 @@ def qc_accepted_values(spark, sf_dir):
     return quality.accepted_values(orders, "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
 
 
-@register("qc_row_count")  # QC5, QC6, A10
+@register("qc_row_count_between")  # QC5
+def qc_row_count_between(spark, sf_dir):
+    return quality.row_count_between(fx.table(spark, sf_dir, "lineitem"), 1, 1000)
+
+
+@register("qc_value_bounds")  # QC8, QC11: price, return and range bounds in one scan
+def qc_value_bounds(spark, sf_dir):
+    fact = orders_star(spark, sf_dir).fact
+    bounds = {"close_price": ("high_price", 0.0, 400000.0), "daily_return": ("wide_return", -0.5, 0.5), "intraday_range_pct": ("wide_range", 0.0, 2.0)}
+    return quality.out_of_bounds(fact, bounds, ["symbol", "price_date"])
+
+
+@register("qc_row_count")  # QC6, A10
 def qc_row_count(spark, sf_dir):
     assets = _dim_assets(fx.registry(spark), fx.bars_orders(spark, sf_dir), fx.chart_events(spark, sf_dir))
     return quality.row_count_equal(assets, 7)
@@ -243,7 +255,7 @@ def qc_distinct_count(spark, sf_dir):
     return quality.distinct_count_equal(orders_star(spark, sf_dir, with_events=True).fact, "symbol", 7)
 
 
-@register("qc_between")  # QC8, QC11
+@register("qc_between")  # QC8
 def qc_between(spark, sf_dir):
     lines = fx.table(spark, sf_dir, "lineitem")
     return quality.values_between(lines, "l_discount", 0.0, 0.08).select("l_orderkey", "l_linenumber", "l_discount")

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dims import dim_assets, dim_dates
-from tidemark.operators.facts import bars_source, chart_source, combine_sources, fact_daily_prices, with_returns
+from tidemark.operators.facts import bars_source, calendar_span, chart_source, combine_sources, fact_daily_prices, with_returns
 from tidemark.plans.sizing import bounded_broadcast
 from tidemark.sources import fixtures as fx
 
@@ -38,7 +38,7 @@ def build_star(
     known = registry_rows * len(staged) if registry_rows is not None else None
     assets_side = bounded_broadcast(assets, probe=registry, factor=len(staged), known_bound=known)
     sources = [bars_source(stg_bars)] + ([chart_source(stg_chart)] if stg_chart is not None else [])
-    fact = fact_daily_prices(combine_sources(*sources), assets_side, dates)
+    fact = fact_daily_prices(combine_sources(*sources), assets_side, dates, span=calendar_span(dates))  # dim_dates has every day
     return Star(registry, assets, dates, fact)
 
 

@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,20 +39,34 @@ def month_partition(date_col: str = "price_date") -> Column:
     return F.date_format(F.col(date_col), "yyyy-MM")
 
 
+def _data_files(fs, path) -> bool:
+    """True when some file below ``path`` is neither hidden nor a marker. Errors of the store are raised."""
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if not status.isDirectory() or _data_files(fs, status.getPath()):
+            return True
+    return False
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable, non-empty parquet table."""
-    try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(jpath) or len(fs.listStatus(jpath)) == 0:
-            return False
-    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): probe by reading
-        pass
-    try:
-        return len(spark.read.parquet(path).schema.fields) > 0
-    except Exception:  # noqa: BLE001 - missing path or no parquet files
-        return False
+    """False only when ``path`` is absent or holds no data file.
+
+    Whatever else goes wrong (a permission, a broken file, a store that does
+    not answer) is raised: taking it for a missing table would let an upsert
+    replace the whole target by one batch.
+    """
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jpath)) and _data_files(fs, jpath)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Free a scratch folder of our own once its rows are committed."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def _write(df: DataFrame, path: str, partition_col: str, mode: str, dynamic: bool, sort_cols: Sequence[str]) -> None:
@@ -84,6 +100,7 @@ def upsert(
     partition_col: str = "part",
     prefer: str = "batch",
     sort_cols: Sequence[str] = (),
+    max_literal_partitions: int = MAX_LITERAL_PARTITIONS,
 ) -> None:
     """SNK4: merge ``batch`` into the parquet table at ``target_path``.
 
@@ -91,33 +108,48 @@ def upsert(
     MATCHED THEN UPDATE). ``prefer="latest"``: the row with the greatest
     ``order_desc`` wins, so the result does not depend on batch order (used
     by the streaming path). A missing or empty target is a full load.
+
+    The de-duplicated batch is written once and read from there, so its
+    upstream runs once. NULL keys and NULL partition values match themselves:
+    rows of the NULL partition are read and kept like any others. Tables are
+    read with the batch's schema (a partition column that holds only NULL has
+    no type of its own).
     """
+    batch_path, stage = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-stage")
     fresh = latest_per_key(batch, keys, order_desc).withColumn(partition_col, partition)
+    schema = fresh.schema
     if not table_exists(spark, target_path):
         _write(fresh, target_path, partition_col, "overwrite", False, sort_cols)
         return
-    target = spark.read.parquet(target_path)
-    touched_df = fresh.select(partition_col).distinct()
-    touched = [r[0] for r in touched_df.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-    if len(touched) <= MAX_LITERAL_PARTITIONS:
-        current = target.where(F.col(partition_col).isin(touched))
+    fresh.write.parquet(batch_path)
+    fresh = spark.read.schema(schema).parquet(batch_path)
+    target = spark.read.schema(schema).parquet(target_path)
+    touched_df = fresh.select(F.col(partition_col).alias("__touched")).distinct()
+    touched = [r[0] for r in touched_df.limit(max_literal_partitions + 1).collect()]
+    if len(touched) <= max_literal_partitions:
+        wanted = F.col(partition_col).isin([v for v in touched if v is not None])
+        current = target.where(wanted | F.col(partition_col).isNull() if None in touched else wanted)
     else:
-        current = target.join(touched_df, partition_col, "left_semi")
+        current = target.join(touched_df, target[partition_col].eqNullSafe(touched_df["__touched"]), "left_semi")
     cols = fresh.columns
     if prefer == "batch":
-        kept = current.join(fresh.select(*keys), list(keys), "left_anti")
-        merged = kept.select(*cols).unionByName(fresh)
+        taken = fresh.select(*[F.col(k).alias(f"__taken_{k}") for k in keys])
+        same = reduce(and_, [current[k].eqNullSafe(taken[f"__taken_{k}"]) for k in keys])
+        merged = current.join(taken, same, "left_anti").select(*cols).unionByName(fresh)
     else:
         merged = latest_per_key(current.select(*cols).unionByName(fresh), keys, order_desc)
-    stage = scratch_path(spark, "upsert-stage")
     _write(merged, stage, partition_col, "overwrite", False, sort_cols)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(schema).parquet(stage)
     _write(staged, target_path, partition_col, "overwrite", True, sort_cols)
+    _remove(spark, batch_path)
+    _remove(spark, stage)
 
 
 def incremental_watermark(spark: SparkSession, target_path: str, column: str = "__de_processed_at") -> dt.datetime | None:
-    """SNK5: the latest ingestion time already loaded; None for a missing or
-    empty target (which must then be loaded in full)."""
+    """SNK5: the latest ingestion time already loaded, as an instant with its
+    zone (UTC, whatever the driver's own zone); None for a missing or empty
+    target (which must then be loaded in full)."""
     if not table_exists(spark, target_path):
         return None
-    return spark.read.parquet(target_path).agg(F.max(column)).first()[0]
+    micros = spark.read.parquet(target_path).agg(F.unix_micros(F.max(F.col(column).cast("timestamp")))).first()[0]
+    return None if micros is None else dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)

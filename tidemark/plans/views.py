@@ -4,10 +4,7 @@
 as a temporary view named like the table, so analyses are plain Spark SQL:
 
     register_views(spark, "/data/wh")
-    spark.sql('''
-        SELECT symbol, asset_return_365d AS return_365d, btc_return_365d, outperformance_vs_btc_365d
-        FROM asset_performance_summary_latest
-        ORDER BY outperformance_vs_btc_365d DESC''')
+    spark.sql("SELECT asset_type, count(*) AS n FROM dim_assets GROUP BY asset_type")
 """
 
 from __future__ import annotations

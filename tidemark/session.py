@@ -74,6 +74,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is not None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.path.join("/tmp", "tidemark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:

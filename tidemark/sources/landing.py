@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.constants import REINGEST_OVERLAP_DAYS
 from tidemark.plans.sizing import bounded_broadcast
@@ -39,6 +40,20 @@ def read_landed(
     return reader.json(list(paths))
 
 
+def read_with_rejects(spark: SparkSession, paths: str | Sequence[str], schema) -> tuple[DataFrame, DataFrame]:
+    """Landed documents with their file path, and the lines that are not documents of this schema.
+
+    A malformed line never turns into a document of NULLs: it is in the second
+    frame (file_path, line), and only there."""
+    declared = T.StructType([*schema.fields, T.StructField("__line", T.StringType())])
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths).where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__line"}
+    docs = lines.select(F.from_json("value", declared, options).alias("d"), F.col("_metadata.file_path").alias("__file"))
+    good = docs.where(F.col("d.__line").isNull()).select(*[F.col("d")[n].alias(n) for n in schema.names], "__file")
+    return good, docs.where(F.col("d.__line").isNotNull()).select(F.col("__file").alias("file_path"), F.col("d.__line").alias("line"))
+
+
 def read_raw_bars(spark: SparkSession, paths, mode: str = "PERMISSIVE") -> DataFrame:
     return read_landed(spark, paths, RAW_BARS, mode)
 
@@ -48,28 +63,25 @@ def read_raw_chart(spark: SparkSession, paths, mode: str = "PERMISSIVE") -> Data
 
 
 def with_landing_path(df: DataFrame) -> DataFrame:
-    """SRC4: recover source, id, fetch window and landing time from the file path."""
+    """SRC4: recover source, id, fetch window and landing time from the file path; NULL where the path is of another form."""
     p = F.col("_metadata.file_path")
-    part = lambda i: F.regexp_extract(p, LANDING_PATH_RE, i)
+    part = lambda i: F.nullif(F.regexp_extract(p, LANDING_PATH_RE, i), F.lit(""))
+    day = lambda i: F.to_date(F.try_to_timestamp(part(i), F.lit("yyyy-MM-dd")))
     return df.withColumns(
         {
             "landing_source": part(1),
             "landing_id": part(2),
-            "landing_start": F.to_date(part(3)),
-            "landing_end": F.to_date(part(4)),
-            "landed_at": F.to_timestamp(part(5), "yyyyMMdd'T'HHmmss"),
+            "landing_start": day(3),
+            "landing_end": day(4),
+            "landed_at": F.try_to_timestamp(part(5), F.lit("yyyyMMdd'T'HHmmss")),
         }
     )
 
 
 def with_audit(df: DataFrame, run_id: str, processed_at: Column | None = None) -> DataFrame:
-    """SRC5: stamp ingestion time (UTC) and the run id."""
-    return df.withColumns(
-        {
-            "__de_processed_at": processed_at if processed_at is not None else F.current_timestamp(),
-            "__run_id": F.lit(run_id),
-        }
-    )
+    """SRC5: stamp ingestion time (UTC) and the run id; a row's own values are kept."""
+    stamp = {"__de_processed_at": processed_at if processed_at is not None else F.current_timestamp(), "__run_id": F.lit(run_id)}
+    return df.withColumns({c: F.coalesce(F.col(c), v) if c in df.columns else v for c, v in stamp.items()})
 
 
 def fetch_window(df: DataFrame, start: str | dt.date, end: str | dt.date, column: str = "price_date") -> DataFrame:
@@ -133,11 +145,9 @@ def read_raw_since(
     raw = spark.read.parquet(table_path)
     if watermark is None:
         return raw
-    since = watermark - dt.timedelta(days=overlap_days)
-    return raw.where(
-        (F.col("ingest_date") >= F.lit(since.date()))
-        & (F.col("__de_processed_at") > F.lit(since))
-    )
+    # A time without a zone is the driver's local time, as Spark hands it out.
+    since = F.lit(watermark.astimezone(dt.timezone.utc)) - F.make_dt_interval(F.lit(overlap_days))
+    return raw.where((F.col("ingest_date") >= F.to_date(since)) & (F.col("__de_processed_at") > since))
 
 
 def export_json(df: DataFrame, path: str) -> None:
