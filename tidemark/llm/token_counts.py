@@ -36,9 +36,9 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import cut, prepare
 
-HEAD_SIZE = 400_000
+HEAD_SIZE = 200_000
 LIMIT = 1024
-FLUSH = 400_000  # distinct pre-tokens held in a task before they are passed on
+FLUSH = 150_000  # distinct pre-tokens held in a task before they are passed on
 
 
 class Splitter:
@@ -72,7 +72,7 @@ def token_counts(
     head_size: int = HEAD_SIZE,
 ) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``documents``."""
-    spark = prepare(documents.sparkSession)
+    spark = prepare(documents.sparkSession, 256)
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     kind = documents.schema["doc_id"].dataType.simpleString()
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
