@@ -200,6 +200,18 @@ def test_passages_cover_what_repeats_and_leave_the_rest(spark):
     assert left[10]["text"].split() == [w for w in rows[1][1].split() if w not in shared] and left[10]["n_chars"] == len(left[10]["text"])
 
 
+def test_passages_with_seeds_from_elsewhere_and_runs_of_one_word(spark):
+    rng = random.Random(12)
+    unique = lambda n: " ".join(f"u{rng.randrange(10**9)}" for _ in range(n))
+    shared = unique(60)
+    head = " ".join(shared.split()[:25])
+    rows = [(1, head + " " + unique(40)), (2, unique(30) + " " + shared + " " + unique(9)), (3, unique(12) + " " + shared + " " + unique(30))]
+    rows += [(4, "spam " * 120), (5, "spam " * 120), (5, "spam " * 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r["doc_id"], r["start"], r["end"]) for r in substring_dedup.passages(docs).collect()}
+    assert {(3, 12, 72), (5, 0, 120)} <= found and {d for d, _, _ in found} == {3, 5}
+
+
 def test_chains_against_brute_force():
     rng = random.Random(4)
     for _ in range(200):
