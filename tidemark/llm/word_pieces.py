@@ -102,6 +102,7 @@ class Encoder:
         self.merger = Merger(spec["model"])
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.starts = sorted({t["content"][:2] for t in spec["added_tokens"]})
+        self.mark = re.compile(r"[^\w\s](?<=[^\W\d_].)").sub
         self.odd = re.compile("[\u0130\u0300-\U0010ffff]").search
         self.known: dict[str, bytes] = {}
 
@@ -112,33 +113,26 @@ class Encoder:
         return not any(x in text for x in self.starts) and (text.isascii() or not self.odd(text))
 
     def learn(self, words: list[str]) -> None:
-        """Remember the ids of words without white space."""
+        """Remember the ids of lower-case words without white space."""
         known, split = self.known, self.split
-        mixed = []
-        new = set()
-        for w in words:
-            low = w.lower()
-            if w.isalpha():
-                parts = None
-                if low not in known:
-                    new.add(low)
-            else:
-                parts = split(low)
-                for p in parts:
-                    if p not in known:
-                        new.add(p)
-            if parts is not None or low != w:
-                mixed.append((w, low, parts))
+        mixed = [(w, split(w)) for w in words if not w.isalpha()]
+        new = [w for w in words if w.isalpha()]
+        new += {p for _, parts in mixed for p in parts if p not in known}.difference(new)
         data = [p.encode() for p in new]
         known.update(zip(new, self.merger.ids([d if len(d) <= LONGEST else b"" for d in data])))
         long = [p for p, d in zip(new, data) if len(d) > LONGEST]
         known.update(zip(long, self.by_library(long)))
-        for w, low, parts in mixed:
-            known[w] = known[low] if parts is None else b"".join([known[p] for p in parts])
+        for w, parts in mixed:
+            known[w] = b"".join([known[p] for p in parts])
+
+    def words(self, text: str) -> list[str]:
+        """A text's words in lower case. Letters end a piece of their own wherever another character follows, so
+        marks behind letters are parted from them and a word is remembered once, not with each mark again."""
+        return self.mark(r" \g<0>", text.lower().replace("\n", " ")).split(" ")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit bytes."""
-        words = [t.replace("\n", " ").split(" ") if self.plain(t) else None for t in texts]
+        words = [self.words(t) if self.plain(t) else None for t in texts]
         get = self.known.get
         found = [list(map(get, ws)) if ws is not None else None for ws in words]
         odd = [i for i, ids in enumerate(found) if ids is not None and None in ids]
