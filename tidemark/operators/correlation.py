@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.constants import LOOKBACK_DAYS, ROUND_RATIO, ROUND_RETURN, TRADING_DAYS
+from tidemark.constants import LOOKBACK_DAYS, ROUND_RATIO, ROUND_RETURN, TRADING_DAYS, UPDATED_AT
 from tidemark.operators.rolling import lookback
 from tidemark.plans.sizing import bounded_broadcast
 from tidemark.session import scratch_root
@@ -105,7 +107,12 @@ def volatility_stats(returns: DataFrame, trading_days: int = TRADING_DAYS) -> Da
 
 
 def volatility_correlation_summary(
-    fact: DataFrame, lookback_days: int = LOOKBACK_DAYS, trading_days: int = TRADING_DAYS
+    fact: DataFrame,
+    lookback_days: int = LOOKBACK_DAYS,
+    trading_days: int = TRADING_DAYS,
+    symbols: Sequence[str] | None = None,
+    ordered: bool = True,
+    updated_at: Column | None = None,
 ) -> DataFrame:
     """Each pair with both symbols' statistics, by |correlation| descending.
 
@@ -115,9 +122,16 @@ def volatility_correlation_summary(
     runs once and the lineage is cut. The statistics table has one row per
     symbol; it is broadcast to both joins once that count is checked (pairs
     outnumber symbols), otherwise both joins shuffle.
+
+    All pairs of S symbols are S(S-1)/2 rows: ``symbols`` keeps to the pairs
+    among those named, and ``ordered=False`` leaves out the sort of the whole
+    result. ``updated_at`` adds the audit column of rebuilt tables.
     """
     scratch_root(fact.sparkSession)
-    returns = recent_returns(fact, lookback_days).checkpoint(eager=True)
+    returns = recent_returns(fact, lookback_days)
+    if symbols is not None:
+        returns = returns.where(F.col("symbol").isin(*symbols))
+    returns = returns.checkpoint(eager=True)
     corr = pairwise_correlation(returns, materialize=False)
     stats = volatility_stats(returns, trading_days)
     side = bounded_broadcast(stats)
@@ -138,7 +152,7 @@ def volatility_correlation_summary(
         F.col("max_daily_loss").alias("max_loss_b"),
     )
     out = corr.join(va, corr["symbol_a"] == va["__sa"]).join(vb, corr["symbol_b"] == vb["__sb"])
-    return out.select(
+    out = out.select(
         "symbol_a",
         "symbol_b",
         "correlation",
@@ -153,4 +167,7 @@ def volatility_correlation_summary(
         "max_gain_b",
         "max_loss_a",
         "max_loss_b",
-    ).orderBy(F.abs("correlation").desc_nulls_last())
+    )
+    if updated_at is not None:
+        out = out.withColumn(UPDATED_AT, updated_at)
+    return out.orderBy(F.abs("correlation").desc_nulls_last()) if ordered else out

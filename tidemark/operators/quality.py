@@ -128,3 +128,15 @@ def run_checks(
     with ThreadPoolExecutor(max_workers=threads) as pool:
         futures = {name: pool.submit(one, name, make) for name, make in checks.items()}
         return {name: f.result() for name, f in futures.items()}
+
+
+def run_row_checks(df: DataFrame, failing: Mapping[str, Column], out_dir: str | None = None) -> dict[str, int]:
+    """QC12 with SNK8: count the failing rows of all checks of a table in one
+    scan, then write the rows of each check; one without any writes no rows
+    and reads nothing."""
+    found = single_scan(df, failing).drop("row_count").first().asDict()
+    if out_dir:
+        for name, n in found.items():
+            rows = df.where(failing[name]) if n else df.limit(0)
+            rows.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/test_results/{name}")
+    return found

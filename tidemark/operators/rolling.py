@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.constants import LOOKBACK_DAYS, ROUND_RETURN, TRADING_DAYS, WINDOWS
+from tidemark.constants import LOOKBACK_DAYS, ROUND_RETURN, TRADING_DAYS, UPDATED_AT, WINDOWS
 
 
 def lookback(df: DataFrame, anchor: DataFrame, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -37,8 +37,14 @@ def _frame_aggregates(base: DataFrame, windows: Sequence[int], unit: str = "rows
             frame = w.rangeBetween(-(n - 1), Window.currentRow)
         else:
             frame = w.rowsBetween(-(n - 1), Window.currentRow)
+        # Rows have a close, so the first of N is the one N - 1 back, or the series' own first.
+        opening = F.first("close_price").over(
+            frame if unit == "calendar" else w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        if unit == "rows":
+            opening = F.coalesce(F.lag("close_price", n - 1).over(w), opening)
         aggs += [
-            F.first("close_price").over(frame).alias(f"__first_{n}"),
+            opening.alias(f"__first_{n}"),
             F.stddev_samp("daily_return").over(frame).alias(f"__sd_{n}"),
             F.count("daily_return").over(frame).alias(f"obs_{n}d"),
         ]
@@ -87,6 +93,7 @@ def rolling_performance(
     trading_days: int = TRADING_DAYS,
     method: str = "frames",
     unit: str = "rows",
+    updated_at: Column | None = None,
 ) -> DataFrame:
     """Per symbol and date: simple return, annualised volatility and the count
     of returns over the last N observations (ROWS frames), for each N.
@@ -106,6 +113,8 @@ def rolling_performance(
     ``unit="rows"`` (default, the reference's code) counts observations;
     ``unit="calendar"`` uses the last N calendar days instead (what the
     reference's documentation describes); it differs where series have gaps.
+
+    ``updated_at`` adds the audit column of rebuilt tables.
     """
     if unit not in ("rows", "calendar"):
         raise ValueError(f"unit must be 'rows' or 'calendar', not {unit!r}")
@@ -135,4 +144,4 @@ def rolling_performance(
     )
     if lookback_days is not None:
         out = lookback(out, fact, lookback_days)
-    return out
+    return out if updated_at is None else out.withColumn(UPDATED_AT, updated_at)

@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.constants import BENCHMARK, LOOKBACK_DAYS, REFERENCE_ASSETS
-from tidemark.operators import correlation, quality, relative
+from tidemark.operators import correlation, relative
 from tidemark.operators.dims import dim_assets, dim_dates
 from tidemark.operators.facts import bars_source, chart_source, combine_sources, fact_daily_prices
 from tidemark.operators.rolling import rolling_performance
 from tidemark.operators.staging import BAR_VALUE_COLUMNS, stage_bars, stage_market_chart
+from tidemark.plans.checks import run_job_checks
 from tidemark.plans.sizing import bounded_broadcast
 from tidemark.plans.upsert import full_refresh, incremental_watermark, month_partition, table_exists, upsert
 from tidemark.schemas import RAW_BARS, RAW_CHART, REGISTRY
@@ -129,16 +130,17 @@ def run(
     )
     fact = _overwrite(fact, f"{wh}/marts/fact_daily_prices")
     rolling = _overwrite(
-        rolling_performance(fact, lookback_days=lookback_days, method=rolling_method), f"{wh}/marts/rolling_performance"
+        rolling_performance(fact, lookback_days=lookback_days, method=rolling_method, updated_at=updated),
+        f"{wh}/marts/rolling_performance"
     )
 
     def relative_marts() -> DataFrame:
         # After the look-back, the benchmark has at most one row per day and source.
         rel = _overwrite(
-            relative.relative_performance(rolling, benchmark, benchmark_rows_bound=2 * (lookback_days + 1)),
+            relative.relative_performance(rolling, benchmark, benchmark_rows_bound=2 * (lookback_days + 1), updated_at=updated),
             f"{wh}/marts/relative_performance",
         )
-        _overwrite(relative.latest_summary(rel), f"{wh}/marts/asset_performance_summary_latest")
+        _overwrite(relative.latest_summary(rel, updated_at=updated), f"{wh}/marts/asset_performance_summary_latest")
         return rel
 
     # Independent marts run as concurrent Spark jobs (the reference builds its
@@ -150,23 +152,27 @@ def run(
         )
         corr_f = pool.submit(
             lambda: _overwrite(
-                correlation.volatility_correlation_summary(fact, lookback_days),
+                correlation.volatility_correlation_summary(fact, lookback_days, updated_at=updated),
                 f"{wh}/marts/volatility_correlation_summary",
             )
         )
         rel = rel_f.result()
         ranked_f.result()
-        corr_f.result()
-    checks = {
-        "fact_unique_symbol_date": lambda: quality.unique_combination(fact, ["symbol", "price_date"]),
-        "fact_price_key_unique": lambda: quality.unique(fact, "price_key"),
-        "fact_close_not_null": lambda: quality.not_null(fact, "close_price"),
-        "dim_assets_symbol_unique": lambda: quality.unique(assets, "symbol"),
-        "dim_assets_type_accepted": lambda: quality.accepted_values(assets, "asset_type", ["stock", "index", "forex", "crypto"]),
-        "relative_no_benchmark": lambda: quality.not_in_set(rel, "symbol", [benchmark]),
-        "data_gap_threshold": lambda: quality.gap_share(fact),
+        corr = corr_f.result()
+    tables = {
+        "raw_bars": spark.read.parquet(f"{wh}/raw/bars"),
+        "raw_chart": spark.read.parquet(f"{wh}/raw/chart"),
+        "stg_bars": stg_bars,
+        "stg_chart": stg_chart,
+        "dim_assets": assets,
+        "dim_dates": dates,
+        "fact": fact,
+        "rolling": rolling,
+        "relative": rel,
+        "latest": spark.read.parquet(f"{wh}/marts/asset_performance_summary_latest"),
+        "correlation": corr,
     }
-    return quality.run_checks(checks, wh, threads=threads)
+    return run_job_checks(tables, reg, benchmark, wh, threads)
 
 
 def main(argv=None) -> None:

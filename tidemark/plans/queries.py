@@ -17,7 +17,7 @@ from tidemark.operators.facts import bars_source, combine_sources, with_returns
 from tidemark.operators.rolling import rolling_performance as _rolling
 from tidemark.operators.staging import latest_per_key, stage_bars, stage_market_chart
 from tidemark.plans.star import brands_fact, orders_star
-from tidemark.session import configure
+from tidemark.session import configure, scratch_root
 from tidemark.sources import fixtures as fx
 from tidemark.sources.landing import missing_assets
 
@@ -47,6 +47,7 @@ def register(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
+            scratch_root(spark)  # some queries cut what they read twice by a checkpoint
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__
@@ -151,7 +152,7 @@ def relative_performance(spark, sf_dir):
 
 @register("latest_summary")  # M13, J7, PF3
 def latest_summary(spark, sf_dir):
-    return relative.latest_summary(_orders_relative(spark, sf_dir))
+    return relative.latest_summary(_orders_relative(spark, sf_dir).checkpoint())
 
 
 @register("ranked_summary")  # M14, WIN6
@@ -189,22 +190,22 @@ def dollar_cost_average(spark, sf_dir):
 
 @register("best_by_period")  # M20
 def best_by_period(spark, sf_dir):
-    star = orders_star(spark, sf_dir)
+    fact = orders_star(spark, sf_dir).fact.checkpoint()
     summary = relative.latest_summary(
-        relative.relative_performance(_rolling(star.fact), benchmark=fx.ORDERS_BENCHMARK, benchmark_rows_bound=BENCH_ROWS)
+        relative.relative_performance(_rolling(fact), benchmark=fx.ORDERS_BENCHMARK, benchmark_rows_bound=BENCH_ROWS).checkpoint()
     )
-    ytd = analysis.year_to_date(star.fact, benchmark=fx.ORDERS_BENCHMARK)
+    ytd = analysis.year_to_date(fact, benchmark=fx.ORDERS_BENCHMARK)
     return analysis.best_by_period(summary, ytd)
 
 
 @register("rank_by_excess")  # M21, S2
 def rank_by_excess(spark, sf_dir):
-    return analysis.rank_by_excess(relative.latest_summary(_orders_relative(spark, sf_dir)))
+    return analysis.rank_by_excess(relative.latest_summary(_orders_relative(spark, sf_dir).checkpoint()))
 
 
 @register("relative_volatility")  # M22
 def relative_volatility(spark, sf_dir):
-    return analysis.relative_volatility(relative.latest_summary(_orders_relative(spark, sf_dir)))
+    return analysis.relative_volatility(relative.latest_summary(_orders_relative(spark, sf_dir).checkpoint()))
 
 
 # ---------------------------------------------------------------- quality checks
