@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, rows=None) -> DataFrame:
-    """SRC7: an inline literal table (a LocalRelation in the plan)."""
+    """SRC7: an inline literal table."""
     return spark.createDataFrame(rows if rows is not None else DRIVER_REGISTRY, REGISTRY)
 
 
