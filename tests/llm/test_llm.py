@@ -234,6 +234,27 @@ def test_chains_against_brute_force():
         assert len(own) > 4 or abs(got - best) < 1e-9
 
 
+def test_chains_behind_a_long_anchor_that_is_too_far():
+    far, at = (0, 500, 0, 500), 535
+    near = [(at + 11 * i, at + 11 * i + 10, at + 11 * i, at + 11 * i + 10) for i in range(11)]
+    got = [own.tolist() for own in substring_dedup.chains(np.array([far, *near]))]
+    assert got == [[list(far)], [list(x) for x in near]]
+    rng = random.Random(6)
+    for _ in range(300):
+        rows = [(0, 300, 0, 300)]
+        for _ in range(rng.randint(2, 14)):
+            a, b, n = rng.randint(300, 420), rng.randint(300, 420), rng.randint(3, 15)
+            rows.append((a, a + n, b, b + n))
+        rows = sorted(set(rows), key=lambda x: (x[0], x[2]))
+        best = []  # of the chains that end with each anchor, tried against all before it
+        for x in rows:
+            ways = [v - 0.5 * (x[0] - y[1] + x[2] - y[3]) for y, v in zip(rows, best) if 0 <= x[0] - y[1] <= 30 and 0 <= x[2] - y[3] <= 30]
+            best.append(x[1] - x[0] + max([0.0, *ways]))
+        chains = substring_dedup.chains(np.array(rows))
+        cost = [(own[:, 1] - own[:, 0]).sum() - 0.5 * sum(y[0] - x[1] + y[2] - x[3] for x, y in zip(own, own[1:])) for own in chains]
+        assert abs(cost[0] - max(best)) < 1e-9 and sorted(map(tuple, np.concatenate(chains))) == sorted(rows)
+
+
 def brute_components(fp, distance=2):
     ids = sorted(fp)
     values = np.array([fp[i] for i in ids], np.uint64)
