@@ -395,6 +395,21 @@ def test_decontamination_equals_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_filters_keep_rows_without_an_id_and_texts_that_share_one(spark):
+    rng = random.Random(14)
+    own = [prose(rng, 60, 4000) for _ in range(8)]
+    rows = [(None, own[0]), (None, own[1]), (None, own[1]), (None, None), (None, ""), (7, own[2]), (7, own[3]), (7, own[3]), (8, own[3]), (9, own[4]), (None, own[4])]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, tag int").repartition(3)
+    kept = [(r["doc_id"], r["text"] or "") for r in simhash.keep_first(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(None, own[0]), (None, own[1]), (None, ""), (7, own[2]), (7, own[3]), (9, own[4])], key=str)
+    assert simhash.keep_first(docs).columns == docs.columns
+    leak = own[5].split()[:12]
+    rows += [(None, " ".join(leak)), (7, own[6] + " " + " ".join(leak)), (30, " ".join(leak))]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, tag int").repartition(3)
+    left = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, " ".join(leak))], "item_id long, text string"))
+    assert left.columns == docs.columns and sorted(r["tag"] for r in left.collect()) == list(range(11))
+
+
 def test_packing_keeps_every_id_and_is_tight(spark, sf_dir):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").unionAll(awkward(spark).where("doc_id < 50").select(F.col("doc_id") + 100_000, "text").distinct()).toDF("doc_id", "text")

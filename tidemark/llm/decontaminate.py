@@ -68,6 +68,11 @@ def small(df: DataFrame, rows: int) -> bool:
 
 def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, shingle: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``documents``."""
+    return keyed_contamination(documents, benchmark, width, shingle, broadcast_rows).drop("key")
+
+
+def keyed_contamination(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, shingle: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The same, with the rows' keys."""
     spark = configure(documents.sparkSession)
     scratch_root(spark)
     found = cut(windows(benchmark, width))
@@ -151,13 +156,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH
         F.size(none).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort(none)), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        "key",
     )
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` without any benchmark window, all columns kept."""
-    bad = contamination(documents, benchmark).where("contaminated").select("doc_id").distinct()
-    matched = documents["doc_id"].eqNullSafe(bad["doc_id"])
+    """The rows of ``documents`` without any benchmark window, all columns kept; rows that share a doc_id, or have none, are judged by their own texts."""
+    bad = keyed_contamination(documents, benchmark).where("contaminated").select(F.col("doc_id").alias("of"), F.col("key").alias("of_key")).distinct()
+    matched = documents["doc_id"].eqNullSafe(bad["of"]) & (F.xxhash64(documents["doc_id"], documents["text"]) == bad["of_key"])
     return documents.join(bad, matched, "left_anti")
 
 

@@ -40,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, prepare, sorted_groups
@@ -50,6 +50,7 @@ WORDS = 3
 DISTANCE = 2
 SEED = 42
 CROWD = 20_000
+ROW_KEY = "tidemark text key"
 
 
 def fingerprint(text: str, words: int = WORDS) -> np.uint64:
@@ -93,16 +94,24 @@ def fingerprints(texts: list[str], words: int = WORDS) -> np.ndarray:
     return out
 
 
-def fingerprint_table(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def text_key(text: Column) -> Column:
+    """What tells texts of one doc_id (or of none) apart; null is as an empty text, like its fingerprint."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def fingerprint_table(documents: DataFrame, words: int = WORDS, keyed: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long); keyed: text_key too."""
     prepare(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(batch.column(1).to_pylist(), words).view(np.int64))], ["doc_id", "fp"])
+            fp = pa.array(fingerprints(batch.column(1).to_pylist(), words).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fp, *batch.columns[2:]], ["doc_id", "fp", *more])
 
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    more = ["text_key"] if keyed else []
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *[text_key(F.col("text")).alias(c) for c in more])
+    return texts.mapInArrow(run, f"doc_id {kind}, fp long" + "".join(f", {c} string" for c in more))
 
 
 def bits_of(fp: np.ndarray) -> np.ndarray:
@@ -367,20 +376,35 @@ def spread_bits(values: np.ndarray, bits: list[int]) -> np.ndarray:
     return out
 
 
+def rooted(table: DataFrame, distance: int, parts: int | None, crowd: int) -> DataFrame:
+    """fp, first (its smallest doc_id), root (a fingerprint that names its component) of every distinct fingerprint."""
+    distinct = cut(table.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    component = connected_components(cut(links(distinct.select("fp"), distance, parts, crowd)))
+    return cut(distinct.join(component, distinct["fp"] == component["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+
+
 def simhash_dedup(documents: DataFrame, words: int = WORDS, distance: int = DISTANCE, parts: int | None = None, crowd: int = CROWD) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of ``documents``."""
     table = cut(fingerprint_table(documents, words))
-    distinct = cut(table.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    component = connected_components(cut(links(distinct.select("fp"), distance, parts, crowd)))
     # The smallest doc_id of each component, then of each fingerprint: one row per distinct fingerprint all along.
-    rooted = cut(distinct.join(component, distinct["fp"] == component["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = rooted.join(least, "root").select("fp", "component_id")
+    roots = rooted(table, distance, parts, crowd)
+    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+    of = roots.join(least, "root").select("fp", "component_id")
     return table.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(documents: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """One row of ``documents`` for each component: that of its smallest doc_id (one only, if rows repeat it)."""
-    kept = simhash_dedup(documents, words, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    same = documents["doc_id"].eqNullSafe(kept["doc_id"])
-    return documents.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
+    """One row of ``documents`` for each component: that of its smallest doc_id, or without any doc_id one of its rows.
+
+    Rows are told apart by doc_id and text, so texts that share a doc_id, or have none, stand for themselves. Of rows
+    that are equal in both, one is kept.
+    """
+    table = cut(fingerprint_table(documents, words, keyed=True))
+    # The first row of each fingerprint, then of each component.
+    row = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_key")
+    firsts = table.groupBy("fp").agg(F.min(row).alias("row"))
+    kept = firsts.join(rooted(table, distance, None, CROWD).select("fp", "root"), "fp").groupBy("root").agg(F.min("row").alias("row"))
+    kept = kept.select(F.col("row.doc_id").alias("of"), F.col("row.text_key").alias("of_text"))
+    marked = documents.withColumn(ROW_KEY, text_key(documents["text"]))
+    same = marked["doc_id"].eqNullSafe(kept["of"]) & (marked[ROW_KEY] == kept["of_text"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", ROW_KEY]).drop(ROW_KEY)
