@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -123,6 +124,34 @@ def test_topk_equals_brute_force(spark):
     assert len(few) == 4
 
 
+def test_topk_queries_of_a_block_pass_by_in_batches():
+    rng = np.random.default_rng(8)
+    vecs, asks = rng.integers(-60, 60, (300, 8)), rng.integers(-60, 60, (20_000, 8))
+    cells = [(0, i, v) for i, v in enumerate(vecs)] + [(1, 1000 + i, v) for i, v in enumerate(asks)]
+    read = []
+
+    def batches():
+        for at in range(0, len(cells), 200):
+            part = cells[at : at + 200]
+            read.append(at)
+            n = len(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([3] * n, pa.int32()), pa.array([1] * n, pa.int32()), pa.array([x[0] for x in part], pa.int32()), pa.array([x[1] for x in part]), pa.array([encoded(x[2]) for x in part]), pa.nulls(n, pa.int64())],
+                ["cell", "part", "kind", "id", "v", "bound"],
+            )
+
+    encoded = lambda v: np.asarray(v, "<i4").tobytes()
+    got, seen = defaultdict(list), 0
+    for out in topk_search.scored(batches(), 8, 5):
+        seen += 1
+        assert len(read) == seen + 1 and out.num_rows <= 200 * 5  # the first batch holds vectors only
+        for q, v, s in zip(*(c.to_pylist() for c in out.columns)):
+            got[q].append((-s, v))
+    assert len(got) == len(asks)
+    for q in range(0, len(asks), 997):
+        assert sorted(got[1000 + q]) == sorted((-int(s), i) for i, s in enumerate(vecs @ asks[q]))[:5]
+
+
 def test_url_rules_and_reputation(spark):
     urls = ["http://a.example.com/en/x", "https://WWW.Example.COM/en/", "http://example.com", "ftp://shop.net/es/1?x", "http://shop.net/de/", "no scheme", None, "http://x.net#/es/", "http://notexample.com/en/", "http://u@h.co.uk:80/p", "http://1.2.3.4/"]
     pages = spark.createDataFrame([(i, u, "<p>", "v") for i, u in enumerate(urls)] + [(100 + i, f"http://bad.net/es/{i}", "", "") for i in range(300)] + [(500, "http://bad.net/de/1", "", ""), (None, None, None, None)], "page_id long, url string, html string, verdict string")

@@ -17,8 +17,8 @@ the triangle inequality leaves, max(0, |d(q, p) - r|) to the ring. The first
 rings that hold ``first`` vectors in all are expanded; the k-th best score so
 far is a lower bound on the result. Then every other ring whose distance bound
 could still reach that score is expanded, and no further one. In a task a block
-meets its queries as two matrices; it returns at most k candidates for each
-query, none below the query's bound. Bounds carry a relative slack far above
+is held as a matrix and its queries pass by a batch at a time; each batch
+returns at most k candidates for each query, none below the query's bound. Bounds carry a relative slack far above
 rounding; scores are exact integers.
 
 Defined results: vectors that are null, or hold null or non-finite components,
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, prepare, sorted_groups
+from tidemark.llm.common import cut, prepare
 
 K = 20
 SCALE = 64
@@ -152,6 +152,49 @@ class Rings:
         return np.maximum(0.0, gap - slack)
 
 
+def scored(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.RecordBatch]:
+    """query_id, vec_id, score: each probe's k best of its block, for rows in order of cell, part and kind.
+
+    Only one block's vectors are held; its queries, whose number grows with the table, pass by a batch at a time.
+    """
+    block, held, held_ids, vecs, own_ids = None, [], [], None, None
+    for batch in batches:
+        cell, part, kind, ids = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("cell", "part", "kind", "id"))
+        bound = batch.column(batch.schema.get_field_index("bound")).fill_null(np.iinfo(np.int64).min).to_numpy()
+        v = batch.column(batch.schema.get_field_index("v"))
+        edges = np.flatnonzero((cell[1:] != cell[:-1]) | (part[1:] != part[:-1])) + 1
+        out_q, out_v, out_s = [], [], []
+        for a, b in zip(np.concatenate(([0], edges)), np.concatenate((edges, [len(cell)]))):
+            if a == b:
+                continue
+            if block != (cell[a], part[a]):
+                block, held, held_ids, vecs = (cell[a], part[a]), [], [], None
+            split = a + int(np.searchsorted(kind[a:b], 1))
+            if split > a:
+                held += v.slice(a, split - a).to_pylist()
+                held_ids.append(ids[a:split])
+            if split == b or not held_ids:
+                continue
+            if vecs is None:
+                own_ids = np.concatenate(held_ids)
+                by_id = np.argsort(own_ids, kind="stable")
+                vecs, own_ids, held = matrix(held, dim)[by_id], own_ids[by_id], []
+            for at in range(split, b, 128):
+                to = min(at + 128, b)
+                s = products(matrix(v.slice(at, to - at).to_pylist(), dim), vecs)
+                ok = (s >= bound[at:to, None]) & (own_ids[None, :] != ids[at:to, None])
+                for i in range(to - at):
+                    hit = np.flatnonzero(ok[i])
+                    if len(hit) > k:
+                        # The k best; among equal scores those that come first, in order of vec_id.
+                        hit = hit[np.argsort(-s[i, hit], kind="stable")[:k]]
+                    out_q.append(np.full(len(hit), ids[at + i]))
+                    out_v.append(own_ids[hit])
+                    out_s.append(s[i, hit])
+        if out_q:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_q, out_v, out_s)], ["query_id", "vec_id", "score"])
+
+
 def topk_search(vectors: DataFrame, k: int = K, scale: int = SCALE, every: int = 20, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other vectors of each vector whose vec_id ``every`` divides."""
     spark = prepare(vectors.sparkSession, 4096)
@@ -228,42 +271,13 @@ def topk_search(vectors: DataFrame, k: int = K, scale: int = SCALE, every: int =
 
         return run
 
-    def score(tables: pa.Table) -> pa.Table:
-        tables = tables.combine_chunks()
-        cell, part, kind, ids = (tables.column(c).to_numpy() for c in ("cell", "part", "kind", "id"))
-        bound = tables.column("bound").fill_null(np.iinfo(np.int64).min).to_numpy()
-        edges = np.flatnonzero((cell[1:] != cell[:-1]) | (part[1:] != part[:-1])) + 1
-        out_q, out_v, out_s = [], [], []
-        for a, b in zip(np.concatenate(([0], edges)), np.concatenate((edges, [len(cell)]))):
-            split = a + int(np.searchsorted(kind[a:b], 1))
-            if split in (a, b):
-                continue
-            rows = tables.column("v").slice(a, b - a).to_pylist()
-            vecs, asks = matrix(rows[: split - a], dim), rows[split - a :]
-            own_ids = ids[a:split]
-            by_id = np.argsort(own_ids, kind="stable")
-            vecs, own_ids = vecs[by_id], own_ids[by_id]
-            for at in range(0, len(asks), 128):
-                qid, least = ids[split + at : min(split + at + 128, b)], bound[split + at : min(split + at + 128, b)]
-                s = products(matrix(asks[at : at + 128], dim), vecs)
-                ok = (s >= least[:, None]) & (own_ids[None, :] != qid[:, None])
-                for i in range(len(qid)):
-                    hit = np.flatnonzero(ok[i])
-                    if len(hit) > k:
-                        # The k best; among equal scores those that come first, in order of vec_id.
-                        hit = hit[np.argsort(-s[i, hit], kind="stable")[:k]]
-                    out_q.append(np.full(len(hit), qid[i]))
-                    out_v.append(own_ids[hit])
-                    out_s.append(s[i, hit])
-        join = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-        return pa.table({"query_id": join(out_q), "vec_id": join(out_v), "score": join(out_s)})
-
     def best(found: DataFrame) -> DataFrame:
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     def search(probes: DataFrame) -> DataFrame:
-        return sorted_groups(data.unionAll(probes), ["cell", "part"], ["kind"], score, "query_id long, vec_id long, score long")
+        dealt = data.unionAll(probes).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind")
+        return dealt.mapInArrow(lambda batches: scored(batches, dim, k), "query_id long, vec_id long, score long")
 
     first = cut(best(search(queries.mapInArrow(expand(False), schema))).select("query_id", "vec_id", "score"))
     reached = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound"))
