@@ -241,6 +241,25 @@ def test_passages_with_seeds_from_elsewhere_and_runs_of_one_word(spark):
     assert {(3, 12, 72), (5, 0, 120)} <= found and {d for d, _, _ in found} == {3, 5}
 
 
+def fuzzy_recall(spark, identity, pairs=60, words=120):
+    """Share of the words of planted passages that are found, 1 - identity of the words altered."""
+    rng = random.Random(int(identity * 100))
+    rows = []
+    for i in range(pairs):
+        shared = [f"v{rng.randrange(10**9)}" for _ in range(words)]
+        altered = set(rng.sample(range(words), round(words * (1 - identity))))
+        edge = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+        rows.append((i, " ".join(edge(30) + shared + edge(30))))
+        rows.append((1000 + i, " ".join(edge(20) + ["x" + w if k in altered else w for k, w in enumerate(shared)] + edge(20))))
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    covered = {(r["doc_id"], k) for r in found if r["source_doc_id"] == r["doc_id"] - 1000 for k in range(max(r["start"], 20), min(r["end"], 20 + words))}
+    return len(covered) / (pairs * words)
+
+
+def test_fuzzy_passages_are_found(spark):
+    assert fuzzy_recall(spark, 0.9) > 0.9
+
+
 def test_chains_against_brute_force():
     rng = random.Random(4)
     for _ in range(200):
