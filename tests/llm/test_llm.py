@@ -241,6 +241,27 @@ def test_passages_with_seeds_from_elsewhere_and_runs_of_one_word(spark):
     assert {(3, 12, 72), (5, 0, 120)} <= found and {d for d, _, _ in found} == {3, 5}
 
 
+def test_exact_passages_whose_seeds_all_lead_elsewhere(spark):
+    rng = random.Random(15)
+    unique = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    shared = unique(60)
+    rows = [(i, unique(20) + shared[a : a + 25] + unique(20)) for i, a in enumerate((0, 20, 40))]
+    rows += [(10, unique(30) + shared + unique(9)), (11, unique(12) + shared + unique(30)), (12, unique(5) + shared[2:58] + unique(7)), (13, unique(5) + shared[:48])]
+    small = [f"s{i}" for i in range(4)]
+    rows += [(20 + i, [rng.choice(small) for _ in range(300)]) for i in range(12)] + [(40, rows[-1][1])]
+    rows += [(50 + i, unique(10) + rng.choice(rows)[1][5:70] + unique(10)) for i in range(40)]
+    for n in (1, 5):
+        covered = defaultdict(set)
+        for r in substring_dedup.passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(n)).collect():
+            covered[r["doc_id"]] |= set(range(r["start"], r["end"]))
+        assert {12 + k for k in range(60)} == covered[11] and covered[12] == set(range(5, 61)) and not covered[10] | covered[13]
+        first = {}
+        for i, w in sorted(rows):
+            for k in range(len(w) - 49):
+                if first.setdefault(tuple(w[k : k + 50]), i) < i:
+                    assert set(range(k, k + 50)) <= covered[i]
+
+
 def fuzzy_recall(spark, identity, pairs=60, words=120):
     """Share of the words of planted passages that are found, 1 - identity of the words altered."""
     rng = random.Random(int(identity * 100))
