@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language_id, lm_scoring, packing, quality, simhash, substring_dedup, token_counts, topk_search, url_filter
+from tidemark.llm import (
+    conversation_repair,
+    decontaminate,
+    language_id,
+    lm_scoring,
+    packing,
+    periodic_runs,
+    quality,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    topk_search,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +67,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(_table(spark, sf_dir, "conversations"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_topk_search": op2_topk_search,
@@ -64,6 +90,9 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
