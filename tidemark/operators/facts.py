@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.sizing import bounded_broadcast
 from tidemark.constants import GAP_DAYS, UPDATED_AT
+from tidemark.functions.slices import OWN, SLICE, sliced
 from tidemark.functions.columns import (
     days_between,
     gap_flag,
@@ -71,7 +72,9 @@ def chart_source(stg_chart: DataFrame) -> DataFrame:
     ).withColumn("source", F.lit("chart"))
 
 
-def with_returns(df: DataFrame, gap_days: int = GAP_DAYS, series: str | None = "source") -> DataFrame:
+def with_returns(
+    df: DataFrame, gap_days: int = GAP_DAYS, series: str | None = "source", slice_rows: int | None = None
+) -> DataFrame:
     """M6-M8: previous close and date inside each series, then daily return,
     intraday range, days since the previous observation and the gap flag.
 
@@ -81,9 +84,17 @@ def with_returns(df: DataFrame, gap_days: int = GAP_DAYS, series: str | None = "
     hash-partitioning on symbol, which every later per-symbol window (rolling
     metrics) reuses: one shuffle for the whole fact + marts chain.
     With unique (symbol, price_date) per series, a window partition holds at
-    most one row per calendar day and series.
+    most one row per calendar day and series. ``slice_rows`` cuts longer series
+    into stretches of about that many rows, each with the row before it
+    (``functions.slices``); the result is the same.
     """
-    if series is not None and series in df.columns:
+    if slice_rows is not None:
+        keys = ["symbol"] if series is None or series not in df.columns else ["symbol", series]
+        cut = sliced(df, keys, "price_date", slice_rows, 1)
+        w = Window.partitionBy(*keys, SLICE).orderBy("price_date")
+        prev_close, prev_date = F.lag("close_price").over(w), F.lag("price_date").over(w)
+        df = cut.select(*df.columns, OWN, SLICE)
+    elif series is not None and series in df.columns:
         w = Window.partitionBy("symbol").orderBy(series, "price_date")
         same = F.lag(series).over(w).eqNullSafe(F.col(series))
         prev_close = F.when(same, F.lag("close_price").over(w))
@@ -93,6 +104,8 @@ def with_returns(df: DataFrame, gap_days: int = GAP_DAYS, series: str | None = "
         prev_close = F.lag("close_price").over(w)
         prev_date = F.lag("price_date").over(w)
     out = df.withColumns({"prev_close_price": prev_close, "prev_price_date": prev_date})
+    if slice_rows is not None:
+        out = out.where(OWN).drop(OWN, SLICE)
     days = days_between("price_date", "prev_price_date")
     return out.withColumns(
         {
@@ -124,6 +137,7 @@ def fact_daily_prices(
     gap_days: int = GAP_DAYS,
     updated_at: Column | None = None,
     span: Column | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """M5/M9: returns per (symbol, source) series, then the two dimension joins.
 
@@ -133,7 +147,7 @@ def fact_daily_prices(
     a date the calendar lacks gets no key. The calendar is broadcast if its
     counted size allows, and joined by a shuffle otherwise.
     """
-    returns = with_returns(sources, gap_days)
+    returns = with_returns(sources, gap_days, slice_rows=slice_rows)
     asset_cols = assets.select(F.col("symbol").alias("__asset_symbol"), F.col("asset_type"))
     joined = returns.join(asset_cols, returns["symbol"] == asset_cols["__asset_symbol"], "left")
     if span is None:

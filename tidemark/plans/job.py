@@ -2,7 +2,7 @@
 
     spark-submit --py-files tidemark.zip tidemark/plans/job.py --landing <landing dir> \
         --warehouse <warehouse dir> --as-of 2026-03-13 [--full-refresh] [--benchmark bitcoin]
-        [--lookback-days 365] [--rolling-method frames|prefix] [--threads 4]
+        [--lookback-days 365] [--rolling-method blocks|frames|prefix] [--threads 4]
 
 Each layer is written before the next reads it: the written table cuts the
 lineage (an executor lost later never re-runs earlier layers) and every
@@ -111,7 +111,7 @@ def run(
     lookback_days: int = LOOKBACK_DAYS,
     run_id: str = "manual",
     registry: DataFrame | None = None,
-    rolling_method: str = "frames",
+    rolling_method: str = "blocks",
     threads: int = 4,
     bars_files: list[str] | None = None,
     chart_files: list[str] | None = None,
@@ -184,7 +184,7 @@ def main(argv=None) -> None:
     p.add_argument("--benchmark", default=BENCHMARK)
     p.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
     p.add_argument("--run-id", default="manual")
-    p.add_argument("--rolling-method", choices=("frames", "prefix"), default="frames")
+    p.add_argument("--rolling-method", choices=("blocks", "frames", "prefix"), default="blocks")
     p.add_argument("--threads", type=int, default=4, help="marts and checks built concurrently")
     p.add_argument("--bars-files", default="", help="comma-separated landed bar files of this run")
     p.add_argument("--chart-files", default="", help="comma-separated landed chart files of this run")

@@ -20,6 +20,7 @@ from tidemark.plans.star import brands_fact, orders_star
 from tidemark.session import configure, scratch_root
 from tidemark.sources import fixtures as fx
 from tidemark.sources.landing import missing_assets
+from tidemark.sources.landing import refetch_plan as _refetch_plan
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,6 +89,16 @@ def missing_symbols(spark, sf_dir):
     return missing_assets(fx.registry(spark), loaded)
 
 
+REFETCH_START, REFETCH_END = "1995-01-01", "1998-06-30"
+
+
+@register("refetch_plan")  # SRC8, SRC10: the days that each registered asset lacks in a run's window
+def refetch_plan(spark, sf_dir):
+    days = ["symbol", "price_date"]
+    loaded = fx.bars_orders(spark, sf_dir).select(*days).unionByName(fx.bars_events(spark, sf_dir).select(*days))
+    return _refetch_plan(fx.registry(spark), loaded, REFETCH_START, REFETCH_END)
+
+
 # ---------------------------------------------------------------- star schema
 
 
@@ -123,6 +134,12 @@ def fact_daily_prices(spark, sf_dir):
     return fact.drop("__run_id", "__de_processed_at")
 
 
+@register("fact_holed_calendar")  # J2: a calendar of weekdays, joined on the date
+def fact_holed_calendar(spark, sf_dir):
+    fact = orders_star(spark, sf_dir, with_events=True, weekdays_only=True).fact
+    return fact.select("symbol", "asset_key", "date_key", "price_date", "close_price")
+
+
 # ---------------------------------------------------------------- marts
 
 
@@ -135,6 +152,14 @@ def rolling_performance(spark, sf_dir):
     return _orders_rolling(spark, sf_dir)
 
 
+SLICE_ROWS = 400  # of a series in one window; the orders bars have some 2,400 days
+
+
+@register("rolling_sliced")  # WIN2-WIN5 with each series cut over several tasks
+def rolling_sliced(spark, sf_dir):
+    return _rolling(orders_star(spark, sf_dir, slice_rows=SLICE_ROWS).fact, slice_rows=SLICE_ROWS)
+
+
 # The rolling output covers a look-back of LOOKBACK_DAYS: at most one benchmark row per day.
 BENCH_ROWS = LOOKBACK_DAYS + 1
 

@@ -8,7 +8,9 @@ instants) and ANSI mode (division guards are written for it).
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +62,27 @@ def build_session(
     return configure(spark)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once a context: operators that run Python in tasks need it there."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # Code only, read by the driver's own file server.
+    out = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark-package.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(out)
+    sc._tidemark_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

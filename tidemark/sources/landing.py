@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,6 +106,30 @@ def missing_assets(expected: DataFrame, loaded: DataFrame) -> DataFrame:
     return expected.join(present, "symbol", "left_anti")
 
 
+def refetch_plan(expected: DataFrame, loaded: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
+    """SRC8/SRC10: what a run over [start, end] has to fetch: symbol, missing_from, missing_to, missing_days.
+
+    One row for each longest stretch of days without a row of an expected
+    asset; an asset without any has the whole window. Covered days are
+    distinct by partial aggregation, and the day before the window and the day
+    behind it stand as covered, so a stretch is the gap between a covered day and the
+    next one. A window holds an asset's days, which the run's window bounds.
+    """
+    first, last = (F.lit(str(d)).cast("date") for d in (start, end))
+    names = expected.select("symbol").distinct()
+    days = fetch_window(loaded, start, end).select("symbol", "price_date")
+    covered = days.join(bounded_broadcast(names), "symbol", "left_semi").distinct()
+    edges = names.select("symbol", F.explode(F.array(F.date_sub(first, 1), F.date_add(last, 1))).alias("price_date"))
+    following = F.lead("price_date").over(Window.partitionBy("symbol").orderBy("price_date"))
+    gaps = covered.unionAll(edges).withColumn("__next", following).where(F.datediff("__next", "price_date") > 1)
+    return gaps.select(
+        "symbol",
+        F.date_add("price_date", 1).alias("missing_from"),
+        F.date_sub("__next", 1).alias("missing_to"),
+        (F.datediff("__next", "price_date") - 1).cast("long").alias("missing_days"),
+    )
+
+
 def write_landing(docs: DataFrame, root: str, source: str) -> None:
     """SNK1: append landed documents as newline JSON under ``root/<source>/``.
 
