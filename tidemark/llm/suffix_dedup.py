@@ -13,7 +13,7 @@
    before the place, read backwards) are sorted, equal ones become one with its
    smallest doc_id, and the sorted run is cut at range splitters. A slice is
    front-coded: for each string the length it shares with the one before, and
-   the rest.
+   the rest, compressed.
 5. Merge. A range's slices are merged by a loser tree whose nodes remember how
    much the loser shares with the winner. A string is compared from the first
    byte on that is not known to be equal, and not at all where those lengths
@@ -60,6 +60,7 @@ TOP = np.uint64(2**64 - 1)
 # Odd multipliers of the hash.
 MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0xD6E8FEB86659FD93)]
 CODEC = "zstd"
+TEXT_LEVEL, STRINGS_LEVEL = 5, 1
 
 
 def chunks(documents: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def chunks(documents: DataFrame) -> DataFrame:
             known = np.array([i is not None for i, _ in held])
             sizes = np.array([len(t) for _, t in held], np.int64)
             body = b"".join(t for _, t in held)
-            cells = [(task << 32) | made, ids.tobytes(), np.packbits(known).tobytes(), sizes.tobytes(), len(body), pa.compress(body, CODEC, asbytes=True)]
+            cells = [(task << 32) | made, ids.tobytes(), np.packbits(known).tobytes(), sizes.tobytes(), len(body), squeezed(body, TEXT_LEVEL)]
             types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, types)], ["chunk", "ids", "known", "sizes", "size", "body"])
 
@@ -91,6 +92,14 @@ def chunks(documents: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "chunk long, ids binary, known binary, sizes binary, size long, body binary")
 
 
+def squeezed(data: bytes, level: int) -> bytes:
+    return pa.Codec(CODEC, compression_level=level).compress(data, asbytes=True)
+
+
+def unsqueezed(data: bytes, size: int) -> bytes:
+    return pa.Codec(CODEC).decompress(data, size, asbytes=True) if size else b""
+
+
 class Chunk:
     """The texts of a chunk row: bytes, and each document's id, whether it is known, and its place."""
 
@@ -99,7 +108,7 @@ class Chunk:
         self.known = np.unpackbits(np.frombuffer(row["known"], np.uint8), count=len(self.ids)).astype(bool)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.ends = np.cumsum(self.sizes)
-        self.text = np.frombuffer(pa.decompress(row["body"], row["size"], CODEC, asbytes=True), np.uint8) if row["size"] else np.zeros(0, np.uint8)
+        self.text = np.frombuffer(unsqueezed(row["body"], row["size"]), np.uint8)
 
     def places(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place, document number and hash of each taken gram of a known document, in order."""
@@ -273,13 +282,13 @@ def shared(strings: np.ndarray) -> np.ndarray:
 
 def front_coded(strings: np.ndarray) -> tuple[bytes, bytes]:
     lengths = shared(strings)
-    return binary(lengths.astype(np.uint8)), binary(strings[np.arange(strings.shape[1]) >= lengths[:, None]])
+    return binary(lengths.astype(np.uint8)), squeezed(binary(strings[np.arange(strings.shape[1]) >= lengths[:, None]]), STRINGS_LEVEL)
 
 
 def decoded(lengths: np.ndarray, rest: bytes) -> np.ndarray:
     inside = np.arange(WIDTH) >= lengths[:, None]
     out = np.zeros((len(lengths), WIDTH), np.uint8)
-    out[inside] = np.frombuffer(rest, np.uint8)
+    out[inside] = np.frombuffer(unsqueezed(rest, int(inside.sum())), np.uint8)
     row = np.maximum.accumulate(np.where(inside, np.arange(len(lengths), dtype=np.int32)[:, None], 0), axis=0)
     return out[row, np.arange(WIDTH)]
 
