@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import configure, scratch_root
+from tidemark.session import configure, scratch_root, ship
 
 # Rows per Arrow batch: with texts of a few kB a batch stays at some MB.
 BATCH_ROWS = 512
@@ -23,18 +20,7 @@ def prepare(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     configure(spark)
     scratch_root(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
-    sc = spark.sparkContext
-    if not getattr(sc, "_tidemark_shipped", False):
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        out = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark-package.zip")
-        with zipfile.ZipFile(out, "w") as z:
-            for folder, _, names in os.walk(package):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
-        sc.addPyFile(out)
-        sc._tidemark_shipped = True
+    ship(spark)
     return spark
 
 

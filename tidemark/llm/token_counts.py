@@ -23,7 +23,9 @@ counted. Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import json
+import os
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -38,7 +40,21 @@ from tidemark.llm.common import cut, prepare
 
 HEAD_SIZE = 200_000
 LIMIT = 1024
-FLUSH = 150_000  # distinct pre-tokens held in a task before they are passed on
+FLUSH = 100_000  # distinct pre-tokens held in a task before they are passed on
+
+
+@functools.lru_cache(maxsize=1)
+def library(path: str) -> Tokenizer:
+    """One tokenizer for each worker. The workers are the parallelism, so it starts no threads of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    return own
+
+
+@functools.lru_cache(maxsize=1)
+def splitter(path: str, pattern: str) -> Splitter:
+    return Splitter(path, pattern)
 
 
 class Splitter:
@@ -47,7 +63,7 @@ class Splitter:
     ODD = regex.compile("[^\x00-\u0557]")
 
     def __init__(self, path: str, pattern: str):
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.split = regex.compile(pattern).findall
         with open(path, encoding="utf-8") as f:
             special = [t["content"] for t in json.load(f).get("added_tokens", ())]
@@ -58,7 +74,7 @@ class Splitter:
         out: list[str] = []
         for part in parts:
             if self.ODD.search(part):
-                out += [part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
+                out += [part[a:b] for _, (a, b) in library(self.path).pre_tokenizer.pre_tokenize_str(part)]
             else:
                 out += self.split(part)
         return out, len(parts) - 1
@@ -78,7 +94,7 @@ def token_counts(
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = Splitter(path, pattern), Counter()
+        split, seen = splitter(path, pattern), Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 seen.update(split.pieces(text)[0])
@@ -89,8 +105,7 @@ def token_counts(
             yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["piece", "n"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
+        own = library(path)
         for batch in batches:
             found = own.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int32())], ["piece", "n", "tokens"])
@@ -110,7 +125,7 @@ def token_counts(
     head = spark.sparkContext.broadcast(dict(zip(rows["piece"], rows["tokens"].tolist())) if rows is not None else {})
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = Splitter(path, pattern), head.value
+        split, known = splitter(path, pattern), head.value
         for batch in batches:
             ids, rids, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             counts, rare = [], defaultdict(list)
