@@ -46,14 +46,14 @@ def latest_per_key(
 BAR_VALUE_COLUMNS = ["open_price", "high_price", "low_price", "close_price", "volume"]
 
 
-def stage_bars(raw: DataFrame) -> DataFrame:
-    """M1: nested bar documents -> staging bars.
+# Which of several rows of a symbol and day stays: the latest ingestion, then the later point, then larger values.
+BAR_ORDER = ["__de_processed_at", "price_ms", *BAR_VALUE_COLUMNS]
+CHART_ORDER = ["__de_processed_at", "price_ms", "close_price", "volume", "market_cap"]
 
-    One row per element of ``results`` (a document with a null or empty array
-    contributes nothing), epoch ms -> UTC date, bars whose five values are all
-    NULL or 0 are dropped, and per (symbol, price_date) the latest ingestion
-    wins (ties: later bar timestamp, then larger values).
-    """
+
+def bar_rows(raw: DataFrame) -> DataFrame:
+    """One row per element of ``results`` (a document with a null or empty array
+    contributes nothing), epoch ms -> UTC date, without bars whose five values are all NULL or 0."""
     flat = raw.select(
         "symbol", "__de_processed_at", "__run_id", F.inline("results")
     ).select(
@@ -68,22 +68,23 @@ def stage_bars(raw: DataFrame) -> DataFrame:
         "__de_processed_at",
         "__run_id",
     )
-    kept = flat.where(~all_zero(*BAR_VALUE_COLUMNS))
-    latest = latest_per_key(
-        kept, ["symbol", "price_date"], ["__de_processed_at", "price_ms", *BAR_VALUE_COLUMNS]
-    )
+    return flat.where(~all_zero(*BAR_VALUE_COLUMNS))
+
+
+def stage_bars(raw: DataFrame) -> DataFrame:
+    """M1: nested bar documents -> staging bars: ``bar_rows``, and per
+    (symbol, price_date) the latest ingestion wins (``BAR_ORDER``)."""
+    latest = latest_per_key(bar_rows(raw), ["symbol", "price_date"], BAR_ORDER)
     return latest.select(
         "symbol", "price_date", *BAR_VALUE_COLUMNS, "__de_processed_at", "__run_id"
     )
 
 
-def stage_market_chart(raw: DataFrame) -> DataFrame:
-    """M2: chart documents with a JSON payload -> staging chart rows.
+def chart_rows(raw: DataFrame) -> DataFrame:
+    """The points of chart documents with a JSON payload.
 
     The three series are zipped by position and cut to the shortest one;
-    malformed JSON yields no rows; a point needs a positive close; per
-    (coin, price_date) the latest ingestion wins (ties: later point, then
-    larger values).
+    malformed JSON yields no rows; a point needs a positive close.
     """
     parsed = raw.select(
         "coin_id",
@@ -98,7 +99,7 @@ def stage_market_chart(raw: DataFrame) -> DataFrame:
     points = parsed.select(
         "coin_id", "vs_currency", "__de_processed_at", "__run_id", F.explode(zipped).alias("pt")
     ).select(
-        "coin_id",
+        F.col("coin_id").alias("symbol"),
         "vs_currency",
         pair_value("pt.p", 0).alias("price_ms"),
         double_millis_to_date(pair_value("pt.p", 0)).alias("price_date"),
@@ -108,14 +109,15 @@ def stage_market_chart(raw: DataFrame) -> DataFrame:
         "__de_processed_at",
         "__run_id",
     )
-    kept = points.where(F.col("close_price").isNotNull() & (F.col("close_price") > 0))
-    latest = latest_per_key(
-        kept,
-        ["coin_id", "price_date"],
-        ["__de_processed_at", "price_ms", "close_price", "volume", "market_cap"],
-    )
+    return points.where(F.col("close_price").isNotNull() & (F.col("close_price") > 0))
+
+
+def stage_market_chart(raw: DataFrame) -> DataFrame:
+    """M2: chart documents -> staging chart rows: ``chart_rows``, and per
+    (coin, price_date) the latest ingestion wins (``CHART_ORDER``)."""
+    latest = latest_per_key(chart_rows(raw), ["symbol", "price_date"], CHART_ORDER)
     return latest.select(
-        F.col("coin_id").alias("symbol"),
+        "symbol",
         "vs_currency",
         "price_date",
         "close_price",

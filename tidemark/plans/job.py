@@ -26,10 +26,11 @@ from tidemark.operators.rolling import rolling_performance
 from tidemark.operators.staging import BAR_VALUE_COLUMNS, stage_bars, stage_market_chart
 from tidemark.plans.checks import run_job_checks
 from tidemark.plans.sizing import bounded_broadcast
-from tidemark.plans.upsert import full_refresh, incremental_watermark, month_partition, table_exists, upsert
+from tidemark.plans.upsert import full_refresh, incremental_watermark, month_partition, upsert
 from tidemark.schemas import RAW_BARS, RAW_CHART, REGISTRY
-from tidemark.session import build_session, scratch_path
-from tidemark.sources.landing import append_raw, read_raw_since, read_with_rejects, with_audit
+from tidemark.session import build_session
+from tidemark.sources.commits import read_committed
+from tidemark.sources.landing import LOAD, load_once, read_raw, read_raw_since, read_with_rejects, with_audit
 
 
 def _overwrite(df: DataFrame, path: str) -> DataFrame:
@@ -49,9 +50,10 @@ def load_raw(
 
     SRC3: pass the exact files a fetch produced (``bars_files``,
     ``chart_files``) to load only those; otherwise the source folders under
-    ``landing`` are read. Files named in ``raw/<source>_files`` were loaded by
-    an earlier run and are left out either way. Lines that are no documents go
-    to ``rejected/<source>`` and fail the run before anything is appended."""
+    ``landing`` are read. Files that an earlier run loaded are left out either
+    way (``load_once``); a run that fails between the two sources loads the
+    other one when it is run again. Lines that are no documents go to
+    ``rejected/<source>`` and fail the run before anything is appended."""
     rejected = 0
     loads = []
     for source, paths, schema, key in (
@@ -59,26 +61,17 @@ def load_raw(
         ("chart", chart_files or f"{landing}/chart", RAW_CHART, "coin_id"),
     ):
         docs, bad = read_with_rejects(spark, paths, schema)
-        done = f"{wh}/raw/{source}_files"
-        if table_exists(spark, done):
-            loaded = spark.read.parquet(done)
-            docs = docs.join(loaded, docs["__file"] == loaded["file_path"], "left_anti")
-            bad = bad.join(loaded, "file_path", "left_anti")
+        raw = f"{wh}/raw/{source}"
+        loaded = read_committed(spark, raw, LOAD)
+        if loaded is not None:
+            bad = bad.join(loaded.select(F.col("__file").alias("file_path")).distinct(), "file_path", "left_anti")
         bad.write.mode("overwrite").parquet(f"{wh}/rejected/{source}")
         rejected += spark.read.parquet(f"{wh}/rejected/{source}").count()
-        loads.append((source, docs, done, key))
+        loads.append((with_audit(docs, run_id), raw, key))
     if rejected:
         raise ValueError(f"{rejected} landed lines are malformed; see {wh}/rejected")
-    for source, docs, done, key in loads:
-        # One read of the landed files for both tables: documents carry their file.
-        batch = cut_to(with_audit(docs, run_id), scratch_path(spark, f"landed-{source}"))
-        append_raw(batch.drop("__file"), f"{wh}/raw/{source}", key)
-        batch.select(F.col("__file").alias("file_path")).distinct().write.mode("append").parquet(done)
-
-
-def cut_to(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for docs, raw, key in loads:
+        load_once(docs, raw, key)
 
 
 def build_staging(spark: SparkSession, wh: str, full: bool) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +84,7 @@ def build_staging(spark: SparkSession, wh: str, full: bool) -> tuple[DataFrame,
     for name, stage, order in specs:
         target = f"{wh}/staging/{name}"
         mark = None if full else incremental_watermark(spark, target)
-        staged = stage(read_raw_since(spark, f"{wh}/raw/{name}", mark).drop("ingest_date"))
+        staged = stage(read_raw_since(spark, f"{wh}/raw/{name}", mark).drop("ingest_date", "__file"))
         if mark is None:
             full_refresh(staged, target, month_partition(), sort_cols=["symbol", "price_date"])
         else:
@@ -160,8 +153,8 @@ def run(
         ranked_f.result()
         corr = corr_f.result()
     tables = {
-        "raw_bars": spark.read.parquet(f"{wh}/raw/bars"),
-        "raw_chart": spark.read.parquet(f"{wh}/raw/chart"),
+        "raw_bars": read_raw(spark, f"{wh}/raw/bars"),
+        "raw_chart": read_raw(spark, f"{wh}/raw/chart"),
         "stg_bars": stg_bars,
         "stg_chart": stg_chart,
         "dim_assets": assets,

@@ -319,6 +319,7 @@ def qc_all_in_one_scan(spark, sf_dir):
 # ---------------------------------------------------------------- writes: upsert, incremental, stream
 
 UPSERT_SPLIT = "1998-06-01"   # batch 1: lines shipped before, batch 2: on/after (ingestion order)
+REREAD_SPLIT = "1997-06-01"   # raw documents ingested before, and on or after
 FACT_SPLIT = "1998-04-15"     # fact built up to this date, then appended incrementally
 
 
@@ -362,13 +363,33 @@ def fact_incremental(spark, sf_dir):
 
 @register("stream_landing")  # ST2, SNK1, SRC1
 def stream_landing(spark, sf_dir):
-    """Landed documents picked up by a stream in several micro-batches, merged into staging."""
+    """Landed documents picked up by a stream in several micro-batches, the newest rows logged and read back."""
     from tidemark.session import scratch_path
     from tidemark.sources.landing import write_landing
-    from tidemark.streaming.landing_stream import stage_bars_stream
+    from tidemark.streaming.landing_stream import log_bars_stream, read_log
 
     root = scratch_path(spark, "landing")
     write_landing(fx.raw_nested(spark, sf_dir).repartition(4, "symbol"), root, "bars")
-    staging = scratch_path(spark, "stream-staging")
-    stage_bars_stream(spark, f"{root}/bars", staging, scratch_path(spark, "stream-checkpoint"), max_files_per_trigger=1)
+    log = scratch_path(spark, "stream-log")
+    log_bars_stream(spark, f"{root}/bars", log, scratch_path(spark, "stream-checkpoint"), max_files_per_trigger=1)
+    return _naive_audit(read_log(spark, log).drop("price_ms"))
+
+
+@register("incremental_reread")  # SNK2, SNK5, F15, ST1: raw rows of the last days read again, merged into staging
+def incremental_reread(spark, sf_dir):
+    """Two raw loads; the second run reads what came after its watermark less the overlap. Equals staging everything."""
+    from tidemark.plans.upsert import full_refresh, incremental_watermark, month_partition, upsert
+    from tidemark.session import scratch_path
+    from tidemark.sources.landing import append_raw, read_raw_since
+
+    docs = fx.raw_nested(spark, sf_dir)
+    raw, staging = scratch_path(spark, "reread-raw"), scratch_path(spark, "reread-staging")
+    split = F.lit(REREAD_SPLIT).cast("timestamp")
+    append_raw(docs.where(F.col("__de_processed_at") < split), raw)
+    full_refresh(stage_bars(spark.read.parquet(raw)), staging, month_partition(), sort_cols=["symbol", "price_date"])
+    append_raw(docs.where(F.col("__de_processed_at") >= split), raw)
+    fresh = read_raw_since(spark, raw, incremental_watermark(spark, staging))
+    # Overlapping days of both loads: the row of the later ingestion stays.
+    upsert(spark, staging, stage_bars(fresh.drop("ingest_date")), ["symbol", "price_date"], ["__de_processed_at"],
+           month_partition(), prefer="latest", sort_cols=["symbol", "price_date"])
     return _naive_audit(spark.read.parquet(staging).drop("part"))

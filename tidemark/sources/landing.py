@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from tidemark.constants import REINGEST_OVERLAP_DAYS
 from tidemark.plans.sizing import bounded_broadcast
 from tidemark.schemas import RAW_BARS, RAW_CHART
+from tidemark.session import scratch_path
+from tidemark.sources.commits import folders, read_committed, remove
 
 # Fixed value: the landing file name pattern <start>_<end>_<landed at>.json
 LANDING_PATH_RE = r"([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})_(\d{8}T\d{6})\.json$"
@@ -155,6 +157,50 @@ def append_raw(docs: DataFrame, table_path: str, id_column: str = "symbol") -> N
     )
 
 
+LOAD = "load"
+
+
+def load_once(docs: DataFrame, table_path: str, id_column: str = "symbol", file_column: str = "__file") -> int:
+    """SNK2, SRC3: append the documents of files that are not loaded yet, each file exactly once; the number of files.
+
+    A load is one committed folder ``load=<id>`` (``sources.commits``). Its rows
+    carry the file they came from, so the rows and the list of loaded files are one
+    commit: a failure at any point leaves all of the files loaded or none. The id follows
+    from the files, so the same load done again replaces what it left. One
+    load of a table runs at a time.
+    """
+    spark = docs.sparkSession
+    done = read_committed(spark, table_path, LOAD)
+    if done is not None:
+        docs = docs.join(done.select(F.col(file_column).alias("__done")).distinct(), F.col(file_column) == F.col("__done"), "left_anti")
+    scratch = scratch_path(spark, "load")
+    docs.write.parquet(scratch)  # landed files are read once
+    batch = spark.read.schema(docs.schema).parquet(scratch)
+    files = batch.select(file_column).distinct().agg(F.count("*").alias("n"), F.sum(F.xxhash64(file_column).cast("decimal(38,0)")).alias("h")).first()
+    if files["n"]:
+        rows = batch.withColumn("ingest_date", F.to_date("__de_processed_at"))
+        path = f"{table_path.rstrip('/')}/{LOAD}={files['n']}-{int(files['h']) % 2**64:016x}"
+        (
+            rows.hint("rebalance", "ingest_date")
+            .sortWithinPartitions("ingest_date", id_column)
+            .write.mode("overwrite")
+            .partitionBy("ingest_date")
+            .parquet(path)
+        )
+    remove(spark, scratch)
+    return files["n"]
+
+
+def read_raw(spark: SparkSession, table_path: str) -> DataFrame:
+    """A raw table: its committed loads, or all of it where it was written by ``append_raw``."""
+    if not folders(spark, table_path, LOAD):
+        return spark.read.parquet(table_path)
+    rows = read_committed(spark, table_path, LOAD)
+    if rows is None:
+        raise ValueError(f"no load of {table_path} is committed")
+    return rows.drop(LOAD)
+
+
 def read_raw_since(
     spark: SparkSession, table_path: str, watermark: dt.datetime | None, overlap_days: int = REINGEST_OVERLAP_DAYS
 ) -> DataFrame:
@@ -166,7 +212,7 @@ def read_raw_since(
     Spark does not derive it from the timestamp by itself. ``None`` (empty or
     missing target) means a full load.
     """
-    raw = spark.read.parquet(table_path)
+    raw = read_raw(spark, table_path)
     if watermark is None:
         return raw
     # A time without a zone is the driver's local time, as Spark hands it out.
