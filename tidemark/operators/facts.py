@@ -138,6 +138,7 @@ def fact_daily_prices(
     updated_at: Column | None = None,
     span: Column | None = None,
     slice_rows: int | None = None,
+    keep_source: bool = False,
 ) -> DataFrame:
     """M5/M9: returns per (symbol, source) series, then the two dimension joins.
 
@@ -145,9 +146,21 @@ def fact_daily_prices(
     joins on their keys: the asset dimension on symbol (hint it for broadcast
     upstream when its size is checked), the date dimension on the date, so that
     a date the calendar lacks gets no key. The calendar is broadcast if its
-    counted size allows, and joined by a shuffle otherwise.
+    counted size allows, and joined by a shuffle otherwise. ``keep_source`` adds
+    the row's source, for tables that are updated row by row.
     """
-    returns = with_returns(sources, gap_days, slice_rows=slice_rows)
+    return with_dimensions(with_returns(sources, gap_days, slice_rows=slice_rows), assets, dates, updated_at, span, keep_source)
+
+
+def with_dimensions(
+    returns: DataFrame,
+    assets: DataFrame,
+    dates: DataFrame | None,
+    updated_at: Column | None = None,
+    span: Column | None = None,
+    keep_source: bool = False,
+) -> DataFrame:
+    """Fact rows from rows with returns: the two dimension joins of ``fact_daily_prices``."""
     asset_cols = assets.select(F.col("symbol").alias("__asset_symbol"), F.col("asset_type"))
     joined = returns.join(asset_cols, returns["symbol"] == asset_cols["__asset_symbol"], "left")
     if span is None:
@@ -176,6 +189,7 @@ def fact_daily_prices(
         "has_data_gap",
         "__run_id",
         "__de_processed_at",
+        *(["source"] if keep_source else []),
     )
     if updated_at is not None:
         out = out.withColumn(UPDATED_AT, updated_at)
@@ -208,3 +222,28 @@ def returns_to_rewrite(existing: DataFrame, incoming: DataFrame, gap_days: int =
     body = replaced.unionByName(incoming.select(*COMBINED_COLUMNS, "source")).withColumn("__anchor", F.lit(False))
     series = anchor.unionByName(body)
     return with_returns(series, gap_days).where(~F.col("__anchor")).drop("__anchor")
+
+
+def dirty_returns(rows: DataFrame, dirty: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
+    """The rows, with their returns, that a change of the ``dirty`` keys touches.
+
+    ``rows`` is the combined staging after the change, ``dirty`` has the changed
+    (symbol, source, price_date). A changed row touches its own return and that of the next row of its
+    series, and nothing else. Only touched series are read from their first
+    changed date on, with the last row before it.
+    """
+    keys = ["symbol", "source"]
+    flags = dirty.select(*[F.col(k).alias(f"__d_{k}") for k in (*keys, "price_date")]).distinct()
+    start = flags.groupBy("__d_symbol", "__d_source").agg(F.min("__d_price_date").alias("__from"))
+    series = [F.col(k).eqNullSafe(F.col(f"__d_{k}")) for k in keys]
+    near = rows.join(start, series[0] & series[1]).drop("__d_symbol", "__d_source")
+    payload = [c for c in rows.columns if c not in keys]
+    last = near.where(F.col("price_date") < F.col("__from")).groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col("price_date")).alias("a"))
+    anchor = last.select(*keys, "a.*").select(*rows.columns, F.lit(False).alias("__dirty"))
+    tail = near.where(F.col("price_date") >= F.col("__from"))
+    marked = tail.join(flags, series[0] & series[1] & F.col("price_date").eqNullSafe(F.col("__d_price_date")), "left")
+    body = marked.select(*rows.columns, F.col("__d_price_date").isNotNull().alias("__dirty"))
+    w = Window.partitionBy("symbol").orderBy("source", "price_date")
+    after = F.lag("source").over(w).eqNullSafe(F.col("source")) & F.lag("__dirty").over(w)
+    both = anchor.unionByName(body).withColumn("__touched", F.col("__dirty") | F.coalesce(after, F.lit(False)))
+    return with_returns(both, gap_days).where("__touched").drop("__dirty", "__touched")

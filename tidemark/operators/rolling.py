@@ -19,10 +19,14 @@ def lookback(df: DataFrame, anchor: DataFrame, days: int = LOOKBACK_DAYS) -> Dat
     """PF8: keep rows on or after (latest date of ``anchor``) - ``days``.
 
     The latest date is an uncorrelated scalar subquery: Spark runs it once and
-    uses the value as a literal in the filter.
+    uses the value as a literal in the filter. A table by month (column ``part``) is also
+    filtered on it, so months before the look-back are not read.
     """
     latest = anchor.select(F.max("price_date")).scalar()
-    return df.where(F.col("price_date") >= F.date_sub(latest, days))
+    first = F.date_sub(latest, days)
+    if "part" in df.columns:
+        df = df.where(F.col("part") >= F.date_format(first, "yyyy-MM"))
+    return df.where(F.col("price_date") >= first)
 
 
 def _frame_aggregates(base: DataFrame, windows: Sequence[int], w: WindowSpec, unit: str = "rows") -> DataFrame:
@@ -195,6 +199,8 @@ def rolling_performance(
     unit: str = "rows",
     updated_at: Column | None = None,
     slice_rows: int | None = None,
+    touched: str | None = None,
+    anchor: DataFrame | None = None,
 ) -> DataFrame:
     """Per symbol and date: simple return, annualised volatility and the count
     of returns over the last N observations (ROWS frames), for each N.
@@ -222,6 +228,10 @@ def rolling_performance(
     reach back to, so that one long series is the work of many tasks. The result
     is the same.
 
+    ``touched`` names a boolean column of changed rows: only dates that have a
+    changed row within the longest window are returned. ``anchor`` is what
+    the look-back is anchored on if ``fact`` is a part of it.
+
     ``updated_at`` adds the audit column of rebuilt tables.
     """
     if unit not in ("rows", "calendar"):
@@ -229,13 +239,20 @@ def rolling_performance(
     if unit == "calendar" and slice_rows is not None:
         raise ValueError("slices are counted in rows, not in days")
     base = fact.where(F.col("close_price").isNotNull()).select(
-        "symbol", "asset_type", "price_date", F.col("close_price").cast("double").alias("close_price"), "daily_return", _chart_point(fact).alias("__chart")
+        "symbol", "asset_type", "price_date", F.col("close_price").cast("double").alias("close_price"), "daily_return", _chart_point(fact).alias("__chart"),
+        *([F.col(touched).alias("__touched")] if touched else []),
     )
     keys, order = ["symbol"], ["price_date", "__chart"]
     if slice_rows is not None:
         base = sliced(base, keys, "price_date", slice_rows, max(windows) - 1)
         keys = [*keys, SLICE]
     w = Window.partitionBy(*keys).orderBy(*order)
+    if touched:
+        place = F.row_number().over(w)
+        last = F.last(F.when(F.col("__touched"), F.col("__row")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        base = base.withColumn("__row", place).withColumn("__reached", F.coalesce(F.col("__row") - last < max(windows), F.lit(False)))
+        # Rows of one date are replaced together.
+        base = base.withColumn("__reached", F.max("__reached").over(Window.partitionBy(*keys, "price_date")))
     ann = F.sqrt(F.lit(float(trading_days)))
     # Every window aggregate is computed once (one sort, Window operators over
     # the same partitioning); returns and volatilities are projections over them.
@@ -245,6 +262,8 @@ def rolling_performance(
         framed = {"blocks": _block_aggregates, "prefix": _prefix_aggregates}[method](base, windows, w)
     if slice_rows is not None:
         framed = framed.where(OWN)
+    if touched:
+        framed = framed.where("__reached")
     close = F.col("close_price")
     out = framed.select(
         "symbol",
@@ -261,5 +280,5 @@ def rolling_performance(
         *[F.col(f"obs_{n}d") for n in windows],
     )
     if lookback_days is not None:
-        out = lookback(out, fact, lookback_days)
+        out = lookback(out, fact if anchor is None else anchor, lookback_days)
     return out if updated_at is None else out.withColumn(UPDATED_AT, updated_at)

@@ -101,6 +101,7 @@ def upsert(
     prefer: str = "batch",
     sort_cols: Sequence[str] = (),
     max_literal_partitions: int = MAX_LITERAL_PARTITIONS,
+    stored: bool = False,
 ) -> None:
     """SNK4: merge ``batch`` into the parquet table at ``target_path``.
 
@@ -110,19 +111,21 @@ def upsert(
     by the streaming path). A missing or empty target is a full load.
 
     The de-duplicated batch is written once and read from there, so its
-    upstream runs once. NULL keys and NULL partition values match themselves:
+    upstream runs once; ``stored`` says that the batch has one row per key and
+    is read from a table already. NULL keys and NULL partition values match themselves:
     rows of the NULL partition are read and kept like any others. Tables are
     read with the batch's schema (a partition column that holds only NULL has
     no type of its own).
     """
     batch_path, stage = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-stage")
-    fresh = latest_per_key(batch, keys, order_desc).withColumn(partition_col, partition)
+    fresh = (batch if stored else latest_per_key(batch, keys, order_desc)).withColumn(partition_col, partition)
     schema = fresh.schema
     if not table_exists(spark, target_path):
         _write(fresh, target_path, partition_col, "overwrite", False, sort_cols)
         return
-    fresh.write.parquet(batch_path)
-    fresh = spark.read.schema(schema).parquet(batch_path)
+    if not stored:
+        fresh.write.parquet(batch_path)
+        fresh = spark.read.schema(schema).parquet(batch_path)
     target = spark.read.schema(schema).parquet(target_path)
     touched_df = fresh.select(F.col(partition_col).alias("__touched")).distinct()
     touched = [r[0] for r in touched_df.limit(max_literal_partitions + 1).collect()]
