@@ -8,6 +8,7 @@ from the registry that the job was run with, not from fixed numbers.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -90,6 +91,12 @@ def run_job_checks(
 ) -> dict[str, int]:
     """Failing rows of every check by name; the rows themselves are written as in ``quality.run_checks``."""
     counts = quality.run_checks(table_checks(tables, registry), out_dir, threads)
-    for name, failing in row_checks(benchmark).items():
-        counts |= quality.run_row_checks(tables[name], {f"{name}_{k}": v for k, v in failing.items()}, out_dir)
+
+    def rows(table: tuple[str, dict[str, Column]]) -> dict[str, int]:
+        name, failing = table
+        return quality.run_row_checks(tables[name], {f"{name}_{k}": v for k, v in failing.items()}, out_dir)
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for found in pool.map(rows, row_checks(benchmark).items()):
+            counts |= found
     return counts

@@ -62,24 +62,27 @@ def load_raw(
     way (``load_once``); a run that fails between the two sources loads the
     other one when it is run again. Lines that are no documents go to
     ``rejected/<source>`` and fail the run before anything is appended."""
-    rejected = 0
-    loads = []
-    for source, paths, schema, key in (
-        ("bars", bars_files or f"{landing}/bars", RAW_BARS, "symbol"),
-        ("chart", chart_files or f"{landing}/chart", RAW_CHART, "coin_id"),
-    ):
+
+    def judged(source: str, paths, schema, key: str) -> tuple[int, DataFrame, str, str]:
         docs, bad = read_with_rejects(spark, paths, schema)
         raw = f"{wh}/raw/{source}"
         loaded = read_committed(spark, raw, LOAD)
         if loaded is not None:
             bad = bad.join(loaded.select(F.col("__file").alias("file_path")).distinct(), "file_path", "left_anti")
-        bad.write.mode("overwrite").parquet(f"{wh}/rejected/{source}")
-        rejected += spark.read.parquet(f"{wh}/rejected/{source}").count()
-        loads.append((with_audit(docs, run_id), raw, key))
-    if rejected:
-        raise ValueError(f"{rejected} landed lines are malformed; see {wh}/rejected")
-    for docs, raw, key in loads:
-        load_once(docs, raw, key)
+        n = _overwrite(bad, f"{wh}/rejected/{source}").count()
+        return n, with_audit(docs, run_id), raw, key
+
+    landed = (
+        ("bars", bars_files or f"{landing}/bars", RAW_BARS, "symbol"),
+        ("chart", chart_files or f"{landing}/chart", RAW_CHART, "coin_id"),
+    )
+    # The two sources know nothing of each other: their Spark jobs run side by side.
+    with ThreadPoolExecutor(max_workers=len(landed)) as pool:
+        loads = list(pool.map(lambda source: judged(*source), landed))
+        rejected = sum(n for n, *_ in loads)
+        if rejected:
+            raise ValueError(f"{rejected} landed lines are malformed; see {wh}/rejected")
+        list(pool.map(lambda load: load_once(*load[1:]), loads))
 
 
 # Source: the staging operator, which of several rows of a key stays, the combined layout.
@@ -104,13 +107,15 @@ def build_staging(spark: SparkSession, wh: str, full: bool) -> tuple[DataFrame,
     taken them over, so a run that fails in between leaves nothing behind that
     the next run does not know of.
     """
-    for name, (stage, order, _) in SOURCES.items():
+
+    def merge(name: str) -> None:
+        stage, order, _ = SOURCES[name]
         target = f"{wh}/staging/{name}"
         mark = None if full else incremental_watermark(spark, target)
         staged = stage(read_raw_since(spark, f"{wh}/raw/{name}", mark).drop("ingest_date", "__file"))
         if mark is None:
             full_refresh(staged, target, month_partition(), sort_cols=KEYS)
-            continue
+            return
         change = f"{wh}/pending/{name}/{CHANGE}={uuid.uuid4().hex}"
         changed_rows(staged, spark.read.parquet(target)).write.parquet(change)
         rows = spark.read.schema(staged.schema).parquet(change)
@@ -118,6 +123,9 @@ def build_staging(spark: SparkSession, wh: str, full: bool) -> tuple[DataFrame,
             remove(spark, change)
         else:
             upsert(spark, target, rows, KEYS, order, month_partition(), sort_cols=KEYS, stored=True)
+
+    with ThreadPoolExecutor(max_workers=len(SOURCES)) as pool:
+        list(pool.map(merge, SOURCES))
     return read_staging(spark, wh)
 
 
