@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import conversation_repair, periodic_runs, queries, suffix_dedup
+from tidemark.llm import conversation_repair, packing, periodic_runs, queries, suffix_dedup
 
 DOCS = "doc_id long, text string, chunk long, runs string, `range` int, h string"
 
@@ -338,3 +338,31 @@ def test_empty_tables(spark):
     assert conversation_repair.repair_report(spark.createDataFrame([], CONV)).count() == 0
     assert conversation_repair.repair(spark.createDataFrame([], CONV)).count() == 0
     assert suffix_dedup.repeat_report(frame(spark, [(None, None), (None, "")])).count() == 2
+
+
+def test_fitted_patterns_carry_the_packing():
+    """Where three pieces can fill a sequence, more than half of the short ones lie in fitted patterns, and no more sequences are used than by best-fit alone."""
+    rng = np.random.default_rng(11)
+    for n, size, low in ((20_000, 512, 1), (3000, 300, 40), (50_000, 2048, 8), (40, 64, 1), (7, 64, 1)):
+        short = np.bincount(np.minimum(size - 1, (rng.lognormal(np.log(0.4 * size), 0.6, n) + low).astype(int)), minlength=size + 1)
+        whole = short.copy()
+        whole[size] = n // 3
+        patterns = packing.full_patterns(np.flatnonzero(short), size)
+        fitted, left = packing.rounded(patterns, packing.fit_repeats(patterns, short.astype(float)), short)
+        used = np.zeros(size + 1, np.int64)
+        for content, k in fitted:
+            assert sum(content) == size and k > 0
+            for v in content:
+                used[v] += k
+        assert (used + left == short).all() and (left >= 0).all()
+        if n >= 3000:
+            assert used.sum() > 0.5 * short.sum()
+        found = packing.plan(whole, size)
+        made = np.zeros(size + 1, np.int64)
+        for content, k in found:
+            assert sum(content) <= size
+            for v in content:
+                made[v] += k
+        assert (made == whole).all()
+        assert sum(k for _, k in found) <= sum(k for _, k in packing.best_fit(whole, size))
+    assert packing.plan(np.zeros(65, np.int64), 64) == []

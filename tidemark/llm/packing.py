@@ -4,8 +4,8 @@
 2. The histogram of piece lengths (at most ``size`` rows, whatever the corpus)
    goes to the driver. All patterns of up to three lengths that add up to
    ``size`` are enumerated, and non-negative least squares finds how often to
-   repeat each so that together they use up the histogram. The repeat counts
-   are rounded down to what is there.
+   repeat each so that together they use up the histogram. The repeats are
+   rounded, the most repeated first, against what is still there.
 3. What the rounded patterns leave over, still a histogram, is packed best-fit
    decreasing, whole counts at a time, which gives further patterns.
 4. Patterns with repeat counts are a plan of bounded size. Each piece gets its
@@ -36,6 +36,7 @@ from tidemark.llm.word_pieces import encoder
 
 SIZE = 2048
 BUCKETS = 256
+RESERVE = 10
 
 
 def pieces(documents: DataFrame, path: str, size: int) -> DataFrame:
@@ -146,23 +147,49 @@ def best_fit(left: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
     return list(done.items())
 
 
+def rounded(patterns: np.ndarray, repeats: np.ndarray, counts: np.ndarray) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
+    """Whole repeats of the fitted patterns, and the counts left over.
+
+    Patterns are taken from the most repeated on: first each by the whole part of its
+    fitted repeats, then again by as much as the counts still allow, so that repeats below one,
+    of which a fit over many patterns has most, are rounded against what is left
+    and not all down to nothing. One piece in ``RESERVE`` of each length stays
+    out: best-fit needs some of every length to fill up what the patterns leave.
+    """
+    left = counts - (counts + RESERVE - 1) // RESERVE
+    kept, out = counts - left, []
+    order = np.argsort(-repeats, kind="stable")
+    order = order[repeats[order] > 0]
+    own = [tuple(v for v in p if v) for p in patterns[order].tolist()]
+    whole = np.floor(repeats[order]).astype(np.int64).tolist()
+    have = left.tolist()
+    for limits in (whole, [None] * len(own)):
+        for content, limit in zip(own, limits):
+            n = min(have[v] // content.count(v) for v in content)
+            n = n if limit is None else min(n, limit)
+            if n > 0:
+                for v in content:
+                    have[v] -= n
+                out.append((content, n))
+    return out, np.array(have, np.int64) + kept
+
+
 def plan(counts: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns with repeat counts that use up the histogram (counts[length]) exactly."""
+    """Patterns with repeat counts that use up the histogram (counts[length]) exactly.
+
+    Whole pieces of ``size`` are sequences of their own. If best-fit alone needs fewer sequences than fitted
+    patterns with best-fit for the rest, its patterns are taken: the plan is never worse than either.
+    """
     lengths = np.flatnonzero(counts)
     if not len(lengths):
         return []
-    left, out = counts.copy(), []
-    patterns = full_patterns(lengths, size)
-    repeats = np.floor(fit_repeats(patterns, counts.astype(float))).astype(np.int64)
-    for p in np.argsort(-repeats, kind="stable"):
-        if repeats[p] <= 0:
-            break
-        content, need = np.unique(patterns[p][patterns[p] > 0], return_counts=True)
-        n = int(min(repeats[p], (left[content] // need).min()))
-        if n > 0:
-            left[content] -= need * n
-            out.append((tuple(int(v) for v in patterns[p] if v), n))
-    return out + best_fit(left, size)
+    short = counts.copy()
+    short[size] = 0
+    whole = [((size,), int(counts[size]))] if counts[size] else []
+    patterns = full_patterns(lengths[lengths < size], size) if short.any() else np.zeros((0, 3), np.int64)
+    fitted, left = rounded(patterns, fit_repeats(patterns, short.astype(float)), short)
+    plans = [fitted + best_fit(left, size), best_fit(short, size)]
+    return whole + min(plans, key=lambda p: sum(n for _, n in p))
 
 
 class Places:
@@ -189,7 +216,7 @@ class Places:
 
 def packing(documents: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every text."""
-    spark = prepare(documents.sparkSession, 256)
+    spark = prepare(documents.sparkSession, 2048)
     table = cut(pieces(documents, tokenizer or public_tokenizers.path("word_bpe_49k.json"), size).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS)).cast("int")))
     by_bucket = cut(table.groupBy("length", "bucket").agg(F.count("*").alias("n")))
     counts = np.zeros(size + 1, np.int64)

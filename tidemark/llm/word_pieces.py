@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import Table
 
 KNOWN = 400_000  # words that a worker remembers
+TOGETHER = 5_000_000  # characters of texts whose words are held at once
 LONGEST = 48  # bytes of a word that is merged in arrays
 NONE = np.int32(2**31 - 1)
 
@@ -132,20 +133,25 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit bytes."""
+        out, begin, size = [], 0, 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= TOGETHER or i + 1 == len(texts):
+                out += self.together(texts[begin : i + 1])
+                begin, size = i + 1, 0
+        return out
+
+    def together(self, texts: list[str]) -> list[bytes]:
+        """As above, for texts whose words are held at once: new ones are merged in few, large arrays."""
         words = [self.words(t) if self.plain(t) else None for t in texts]
-        get = self.known.get
-        found = [list(map(get, ws)) if ws is not None else None for ws in words]
-        odd = [i for i, ids in enumerate(found) if ids is not None and None in ids]
-        new: set[str] = set()
-        for i in odd:
-            new.update([w for w, ids in zip(words[i], found[i]) if ids is None])
-        self.learn(list(new))
-        for i in odd:
-            found[i] = map(get, words[i])
-        out = [b"".join(ids) if ids is not None else self.by_library([t])[0] for t, ids in zip(texts, found)]
-        if len(self.known) > KNOWN:  # frequent words are in this batch too
-            recent = {w for ws in words if ws is not None for w in ws}
-            self.known = {w: self.known[w] for w in recent}
+        known, seen = self.known, set()
+        for ws in words:
+            seen.update(ws or ())
+        self.learn([w for w in seen if w not in known])
+        get = known.__getitem__
+        out = [b"".join(map(get, ws)) if ws is not None else self.by_library([t])[0] for t, ws in zip(texts, words)]
+        if len(known) > KNOWN:  # frequent words are in this batch too
+            self.known = {w: known[w] for w in seen}
         return out
 
 
