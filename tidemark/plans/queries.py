@@ -375,6 +375,22 @@ def stream_landing(spark, sf_dir):
     return _naive_audit(read_log(spark, log).drop("price_ms"))
 
 
+@register("landing_roundtrip")  # SNK1, SRC2, SRC4: one file a document, its path decoded when it is read
+def landing_roundtrip(spark, sf_dir):
+    from tidemark.session import scratch_path
+    from tidemark.schemas import RAW_BARS
+    from tidemark.sources.landing import with_landing_path
+    from tidemark.sources.landing_sink import land_documents
+
+    root = scratch_path(spark, "landed")
+    land_documents(fx.raw_nested(spark, sf_dir), root, "bars")
+    docs = spark.read.schema(RAW_BARS).option("recursiveFileLookup", "true").json(f"{root}/bars")
+    return with_landing_path(docs).select(
+        "landing_source", "landing_id", "landing_start", "landing_end", F.date_format("landed_at", "yyyyMMddHHmmss").alias("landed_at"),
+        F.col("symbol").eqNullSafe(F.col("landing_id")).alias("own_path"), F.size("results").cast("long").alias("points"),
+    )
+
+
 @register("incremental_reread")  # SNK2, SNK5, F15, ST1: raw rows of the last days read again, merged into staging
 def incremental_reread(spark, sf_dir):
     """Two raw loads; the second run reads what came after its watermark less the overlap. Equals staging everything."""

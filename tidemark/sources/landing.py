@@ -72,7 +72,7 @@ def with_landing_path(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "landing_source": part(1),
-            "landing_id": part(2),
+            "landing_id": F.coalesce(_unquoted(_unquoted(part(2))), part(2)),
             "landing_start": day(3),
             "landing_end": day(4),
             "landed_at": F.try_to_timestamp(part(5), F.lit("yyyyMMdd'T'HHmmss")),
@@ -80,6 +80,11 @@ def with_landing_path(df: DataFrame) -> DataFrame:
     )
 
 
+def _unquoted(name: Column) -> Column:
+    """A path's own percent signs stand for themselves in its URI, so a quoted name is quoted twice there."""
+    return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def with_audit(df: DataFrame, run_id: str, processed_at: Column | None = None) -> DataFrame:
     """SRC5: stamp ingestion time (UTC) and the run id; a row's own values are kept."""
     stamp = {"__de_processed_at": processed_at if processed_at is not None else F.current_timestamp(), "__run_id": F.lit(run_id)}
