@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.constants import BENCHMARK, ROUND_RETURN
@@ -131,6 +131,12 @@ def rank_by_excess(summary: DataFrame, n: int = 365, prefix: str = "btc") -> Dat
     return ranked.orderBy("excess_rank", "symbol")
 
 
+def with_position(ranked: DataFrame, rank: str, *ties: str, name: str = "position") -> DataFrame:
+    """The place of each row in a listing by ``rank`` and then ``ties``, as a column: a rank is shared by tied rows
+    only, so their order inside it gives the place without a window over all rows."""
+    return ranked.withColumn(name, (F.col(rank) + F.row_number().over(Window.partitionBy(rank).orderBy(*ties)) - 1).cast("long"))
+
+
 def relative_volatility(summary: DataFrame, n: int = 365, prefix: str = "btc") -> DataFrame:
     """Each symbol's volatility as a share of the benchmark's, also in percent."""
     ratio = F.col(f"relative_volatility_{n}d_vs_{prefix}")

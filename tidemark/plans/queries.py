@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.constants import LOOKBACK_DAYS
+from tidemark.functions.ranking import global_rank
 from tidemark.operators import analysis, correlation, quality, relative
 from tidemark.operators.dims import dim_assets as _dim_assets
 from tidemark.operators.dims import dim_dates as _dim_dates
@@ -77,6 +78,16 @@ def stage_json_chart(spark, sf_dir):
     return _naive_audit(stage_market_chart(fx.raw_chart(spark, sf_dir)))
 
 
+@register("stage_nested_zeros")  # M1, PF4: all-zero and all-null bars are dropped, a zero price with a volume stays
+def stage_nested_zeros(spark, sf_dir):
+    return _naive_audit(stage_bars(fx.raw_nested_with_zeros(spark, sf_dir)))
+
+
+@register("stage_chart_zeros")  # M2, PF5: points without a positive close are dropped
+def stage_chart_zeros(spark, sf_dir):
+    return _naive_audit(stage_market_chart(fx.raw_chart_with_zeros(spark, sf_dir)))
+
+
 @register("dedupe_latest")  # WIN1, PF9, S3
 def dedupe_latest(spark, sf_dir):
     lines = fx.table(spark, sf_dir, "lineitem")
@@ -233,6 +244,36 @@ def relative_volatility(spark, sf_dir):
     return analysis.relative_volatility(relative.latest_summary(_orders_relative(spark, sf_dir).checkpoint()))
 
 
+def _brands_latest(spark, sf_dir):
+    """The latest summary of the monthly brand bars: some two dozen rows with tied values."""
+    fact = with_returns(combine_sources(bars_source(fx.bars_brands_monthly(spark, sf_dir)))).withColumn("asset_type", F.lit("brand"))
+    rel = relative.relative_performance(_rolling(fact), benchmark=fx.BRANDS_BENCHMARK, benchmark_rows_bound=BENCH_ROWS)
+    return relative.latest_summary(rel.checkpoint())
+
+
+@register("latest_summary_brands")  # M13 over many symbols
+def latest_summary_brands(spark, sf_dir):
+    return _brands_latest(spark, sf_dir)
+
+
+@register("excess_listing_brands")  # M21, S2: ties share a rank, the listing has a place for each row
+def excess_listing_brands(spark, sf_dir):
+    return analysis.with_position(analysis.rank_by_excess(_brands_latest(spark, sf_dir), n=90), "excess_rank", "symbol")
+
+
+@register("relative_volatility_brands")  # M22 over many symbols
+def relative_volatility_brands(spark, sf_dir):
+    return analysis.relative_volatility(_brands_latest(spark, sf_dir))
+
+
+@register("pair_listing")  # M17, S1: every pair with its place by |correlation|
+def pair_listing(spark, sf_dir):
+    pairs = correlation.volatility_correlation_summary(brands_fact(spark, sf_dir), ordered=False)
+    strength = pairs.select("symbol_a", "symbol_b", "correlation", F.abs("correlation").alias("strength"))
+    ranked = global_rank(strength, "strength", "strength_rank", ascending=False)
+    return analysis.with_position(ranked, "strength_rank", "symbol_a", "symbol_b").drop("strength")
+
+
 # ---------------------------------------------------------------- quality checks
 
 

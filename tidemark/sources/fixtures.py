@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.bars import daily_bars
-from tidemark.schemas import REGISTRY
+from tidemark.schemas import CHART_PAYLOAD, REGISTRY
 
 # Fixed values of the fixtures (our definitions, documented in FIXTURES.md).
 ORDERS_BENCHMARK = "1-URGENT"
@@ -88,6 +88,21 @@ def bars_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unit_price_bars(spark, sf_dir, "brand")
 
 
+BRANDS_BENCHMARK = "Brand#11"
+
+
+def bars_brands_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly close per part brand: the highest unit price, to the nearest 10,000, so that many values tie."""
+    days = bars_brands(spark, sf_dir)
+    months = days.groupBy("symbol", F.trunc("price_date", "month").alias("price_date")).agg(
+        (F.round(F.max("close_price") / 10000) * 10000).alias("close_price"), F.sum("volume").alias("volume")
+    )
+    none = F.lit(None).cast("double")
+    return months.select(
+        "symbol", "price_date", none.alias("open_price"), none.alias("high_price"), none.alias("low_price"), "close_price", "volume"
+    )
+
+
 def bars_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily close per part key: many short, sparse series."""
     return _unit_price_bars(spark, sf_dir, "part")
@@ -105,6 +120,30 @@ def _doc_year_bars(bars: DataFrame) -> DataFrame:
     return bars.select("*", F.explode(doc_years).alias("doc_year"), ms.alias("ms"))
 
 
+def raw_nested_with_zeros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_nested`` with bars that staging must judge: those of the 5th and 6th are all zero or all null, those of the
+    7th have a price of zero and keep their volume."""
+    day = F.dayofmonth(F.timestamp_millis("p.timestamp"))
+    value = lambda c, keep: F.when(day == 5, 0.0).when(day == 6, None).when((day == 7) & F.lit(not keep), 0.0).otherwise(F.col(f"p.{c}")).alias(c)
+    docs = raw_nested(spark, sf_dir)
+    points = docs.select(*[c for c in docs.columns if c != "results"], F.explode("results").alias("p"))
+    changed = F.struct(F.col("p.timestamp").alias("timestamp"), *[value(c, c == "volume") for c in ("open", "high", "low", "close", "volume")])
+    keys = [c for c in docs.columns if c != "results"]
+    out = points.withColumn("q", changed).groupBy(*keys).agg(F.sort_array(F.collect_list("q")).alias("results"))
+    return out.select(*docs.columns)
+
+
+def raw_chart_with_zeros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_chart`` whose points of the 5th have a close of zero and those of the 6th a negative one: staging drops them."""
+    docs = raw_chart(spark, sf_dir)
+    payload = F.from_json("raw_json", CHART_PAYLOAD)
+    day = lambda p: F.dayofmonth(F.timestamp_millis(p[0].cast("double").cast("long")))
+    price = lambda p: F.when(day(p) == 5, F.array(p[0].cast("double"), F.lit(0.0))).when(day(p) == 6, F.array(p[0].cast("double"), F.lit(-1.0))).otherwise(F.array(p[0].cast("double"), p[1].cast("double")))
+    numbers = lambda c: F.transform(c, lambda p: F.transform(p, lambda v: v.cast("double")))
+    new = F.struct(F.transform(payload["prices"], price).alias("prices"), numbers(payload["total_volumes"]).alias("total_volumes"), numbers(payload["market_caps"]).alias("market_caps"))
+    return docs.withColumn("raw_json", F.to_json(new)).select(*docs.columns)
+
+
 def _envelope(doc_year):
     return {
         "fetch_start": F.date_sub(F.make_date(doc_year, F.lit(1), F.lit(1)), DOC_OVERLAP_DAYS).cast("string"),
