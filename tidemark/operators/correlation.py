@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +14,11 @@ from tidemark.plans.sizing import bounded_broadcast
 from tidemark.session import scratch_root
 
 
-def recent_returns(fact: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """PF6 + PF8: non-null daily returns within the look-back of the fact's latest date."""
-    r = fact.where(F.col("daily_return").isNotNull()).select("symbol", "price_date", "daily_return")
-    return lookback(r, fact, lookback_days)
+def recent_returns(fact: DataFrame, lookback_days: int = LOOKBACK_DAYS, anchor: dt.date | None = None) -> DataFrame:
+    """PF6 + PF8: non-null daily returns within the look-back of the fact's latest date (``anchor`` where it is known)."""
+    month = ["part"] if "part" in fact.columns else []
+    r = fact.where(F.col("daily_return").isNotNull()).select("symbol", "price_date", "daily_return", *month)
+    return lookback(r, fact if anchor is None else anchor, lookback_days).drop(*month)
 
 
 def pearson(x: str, y: str):
@@ -113,6 +115,7 @@ def volatility_correlation_summary(
     symbols: Sequence[str] | None = None,
     ordered: bool = True,
     updated_at: Column | None = None,
+    anchor: dt.date | None = None,
 ) -> DataFrame:
     """Each pair with both symbols' statistics, by |correlation| descending.
 
@@ -128,7 +131,7 @@ def volatility_correlation_summary(
     result. ``updated_at`` adds the audit column of rebuilt tables.
     """
     scratch_root(fact.sparkSession)
-    returns = recent_returns(fact, lookback_days)
+    returns = recent_returns(fact, lookback_days, anchor)
     if symbols is not None:
         returns = returns.where(F.col("symbol").isin(*symbols))
     returns = returns.checkpoint(eager=True)

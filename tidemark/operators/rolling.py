@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,14 +16,15 @@ from tidemark.functions.slices import OWN, SLICE, sliced
 from tidemark.session import ship
 
 
-def lookback(df: DataFrame, anchor: DataFrame, days: int = LOOKBACK_DAYS) -> DataFrame:
+def lookback(df: DataFrame, anchor: DataFrame | dt.date, days: int = LOOKBACK_DAYS) -> DataFrame:
     """PF8: keep rows on or after (latest date of ``anchor``) - ``days``.
 
     The latest date is an uncorrelated scalar subquery: Spark runs it once and
-    uses the value as a literal in the filter. A table by month (column ``part``) is also
-    filtered on it, so months before the look-back are not read.
+    uses the value as a literal in the filter. It may also be given as a date (from
+    ``sources.statistics``). A table by month (column ``part``) is filtered on the month too, so months
+    before the look-back are not read.
     """
-    latest = anchor.select(F.max("price_date")).scalar()
+    latest = anchor.select(F.max("price_date")).scalar() if isinstance(anchor, DataFrame) else F.lit(anchor).cast("date")
     first = F.date_sub(latest, days)
     if "part" in df.columns:
         df = df.where(F.col("part") >= F.date_format(first, "yyyy-MM"))
@@ -200,7 +202,7 @@ def rolling_performance(
     updated_at: Column | None = None,
     slice_rows: int | None = None,
     touched: str | None = None,
-    anchor: DataFrame | None = None,
+    anchor: DataFrame | dt.date | None = None,
 ) -> DataFrame:
     """Per symbol and date: simple return, annualised volatility and the count
     of returns over the last N observations (ROWS frames), for each N.
@@ -230,7 +232,7 @@ def rolling_performance(
 
     ``touched`` names a boolean column of changed rows: only dates that have a
     changed row within the longest window are returned. ``anchor`` is what
-    the look-back is anchored on if ``fact`` is a part of it.
+    the look-back is anchored on if ``fact`` is a part of it, or its latest date.
 
     ``updated_at`` adds the audit column of rebuilt tables.
     """

@@ -33,6 +33,7 @@ from tidemark.plans.upsert import full_refresh, incremental_watermark, month_par
 from tidemark.schemas import RAW_BARS, RAW_CHART, REGISTRY
 from tidemark.session import build_session, scratch_path
 from tidemark.sources.commits import read_committed, remove
+from tidemark.sources.statistics import stored_bounds
 from tidemark.sources.landing import LOAD, load_once, read_raw, read_raw_since, read_with_rejects, refetch_plan, with_audit
 
 
@@ -192,7 +193,7 @@ def read_fact(spark: SparkSession, wh: str) -> DataFrame:
 
 
 def build_rolling(
-    spark: SparkSession, wh: str, fact: DataFrame, lookback_days: int, method: str, updated, dirty: DataFrame | None
+    spark: SparkSession, wh: str, fact: DataFrame, latest: dt.date, lookback_days: int, method: str, updated, dirty: DataFrame | None
 ) -> DataFrame:
     """The rolling mart: rebuilt, or only the dates whose windows hold a ``dirty`` row; the others are kept.
 
@@ -200,22 +201,24 @@ def build_rolling(
     """
     path = f"{wh}/marts/rolling_performance"
     if dirty is None:
-        return _overwrite(rolling_performance(fact, lookback_days=lookback_days, method=method, updated_at=updated), path)
+        return _overwrite(rolling_performance(fact, lookback_days=lookback_days, method=method, updated_at=updated, anchor=latest), path)
     marks = dirty.select(*[F.col(k).alias(f"__d_{k}") for k in KEYS])
     same = [F.col(k).eqNullSafe(F.col(f"__d_{k}")) for k in KEYS]
     names = marks.select("__d_symbol").distinct()
     near = fact.join(names, same[0], "left_semi").join(marks, same[0] & same[1], "left")
     near = near.withColumn("__changed", F.col("__d_price_date").isNotNull()).drop("__d_symbol", "__d_price_date")
-    rows = rolling_performance(near, lookback_days=lookback_days, method=method, updated_at=updated, touched="__changed", anchor=fact)
+    rows = rolling_performance(near, lookback_days=lookback_days, method=method, updated_at=updated, touched="__changed", anchor=latest)
     rows = cut_to(rows, scratch_path(spark, "rolling-rows"))
-    old = lookback(spark.read.parquet(path), fact, lookback_days)
+    old = lookback(spark.read.parquet(path), latest, lookback_days)
     taken = rows.select(*[F.col(k).alias(f"__d_{k}") for k in KEYS]).distinct()
     kept = old.join(taken, same[0] & same[1], "left_anti")
     whole = cut_to(kept.unionByName(rows), scratch_path(spark, "rolling-whole"))
     return _overwrite(whole, path)
 
 
-def build_marts(spark: SparkSession, wh: str, fact: DataFrame, rolling: DataFrame, benchmark: str, lookback_days: int, threads: int, updated) -> None:
+def build_marts(
+    spark: SparkSession, wh: str, fact: DataFrame, latest: dt.date, rolling: DataFrame, benchmark: str, lookback_days: int, threads: int, updated
+) -> None:
     """The marts over the look-back. They run as concurrent Spark jobs (the reference builds its model graph
     with 4 threads); each one reads the written fact or rolling table."""
 
@@ -233,7 +236,7 @@ def build_marts(spark: SparkSession, wh: str, fact: DataFrame, rolling: DataFram
             pool.submit(lambda: _overwrite(relative.ranked_summary(rolling, benchmark), f"{wh}/marts/asset_performance_summary")),
             pool.submit(
                 lambda: _overwrite(
-                    correlation.volatility_correlation_summary(fact, lookback_days, updated_at=updated),
+                    correlation.volatility_correlation_summary(fact, lookback_days, updated_at=updated, anchor=latest),
                     f"{wh}/marts/volatility_correlation_summary",
                 )
             ),
@@ -291,8 +294,9 @@ def run(
         sources = combine_sources(bars_source(stg_bars), chart_source(stg_chart))
         touched = build_fact(spark, wh, sources, assets, dates, updated, dirty)
         fact = read_fact(spark, wh)
-        rolling = build_rolling(spark, wh, fact, lookback_days, rolling_method, updated, touched)
-        build_marts(spark, wh, fact, rolling, benchmark, lookback_days, threads, updated)
+        latest = stored_bounds(spark, f"{wh}/marts/fact_daily_prices", "price_date")[1]
+        rolling = build_rolling(spark, wh, fact, latest, lookback_days, rolling_method, updated, touched)
+        build_marts(spark, wh, fact, latest, rolling, benchmark, lookback_days, threads, updated)
     mart = lambda name: spark.read.parquet(f"{wh}/marts/{name}")
     tables = {
         "raw_bars": read_raw(spark, f"{wh}/raw/bars"),
