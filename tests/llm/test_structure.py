@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -9,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import conversation_repair, packing, periodic_runs, queries, suffix_dedup
+from tidemark.llm import conversation_repair, packing, periodic_runs, queries, suffix_dedup, topk_search
 
 DOCS = "doc_id long, text string, chunk long, runs string, `range` int, h string"
 
@@ -366,3 +367,23 @@ def test_fitted_patterns_carry_the_packing():
         assert (made == whole).all()
         assert sum(k for _, k in found) <= sum(k for _, k in packing.best_fit(whole, size))
     assert packing.plan(np.zeros(65, np.int64), 64) == []
+
+
+def test_topk_with_large_components_and_repeated_ids(spark):
+    """Scores beyond 2^53, components beyond 32 bits, rows that share a vec_id: each row is a query and a candidate."""
+    rng = random.Random(12)
+    rows = [(i, [rng.uniform(-1, 1) * 10 ** rng.randint(0, 7) for _ in range(4)]) for i in range(60)]
+    rows += [(1004, [4e7, 0.0]), (1001, [1e8, 0.0]), (1002, [1.0, 0.0]), (1020, [1.0, 0.0]), (1020, [1.0, 0.0]), (1020, [2.0, -1.0]), (1003, [-1e7, 3.0, 0.0, 2e6])]
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, rid int")
+    ints = [(i, [math.floor(64 * x) for x in v] + [0] * (4 - len(v))) for i, v in rows]
+    want = []
+    for n, (q, v) in enumerate(ints):
+        if q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(ints) if m != n)[:20]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert max(abs(r[3]) for r in want) > 2**55
+    for block in (16_384, 8):
+        assert sorted(map(tuple, topk_search.topk_search(table, block=block).collect())) == sorted(want)
+    for bad in ([1e18, 0.0], [1e8, 3e10]):
+        with pytest.raises(Exception, match="64 bits"):
+            topk_search.topk_search(spark.createDataFrame([(0, bad), (20, bad)], "vec_id long, embedding array<double>")).collect()

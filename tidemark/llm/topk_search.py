@@ -22,13 +22,13 @@ returns at most k candidates for each query, none below the query's bound. Bound
 rounding; scores are exact integers.
 
 Defined results: vectors that are null, or hold null or non-finite components,
-take no part. A component is clipped to 32 bits after scaling. Vectors of
+take no part. Scaled components and scores are 64-bit integers; a table whose
+components or scores go beyond is refused, never cut down. Vectors of
 different length are compared as if padded with zeros. Empty vectors score 0
 with everything. Fewer than k candidates: all are returned. A null vec_id takes
-no part. Rows that repeat a vec_id are candidates each, ranked in the order of
-their scores, but a row is no candidate of its own vec_id; as queries the rows
-of one vec_id count once, the vector first in order deciding. Other columns are
-ignored.
+no part. A row is known by a number of its own, given in the order of vec_id:
+rows that repeat a vec_id are queries each, and candidates of each other. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,10 +47,11 @@ SCALE = 64
 SAMPLE = 4096
 BLOCK = 16_384
 SLACK = 1e-9
+WIDE = b"\x08"  # behind the bytes of a vector that needs 64-bit integers
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """vec_id, v (32-bit integers as bytes), norm2, dim of the rows that take part."""
+    """vec_id, v (integers as bytes, 32-bit ones where they suffice), norm2, dim of the rows that take part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,13 +62,15 @@ def quantised(vectors: DataFrame, scale: int) -> DataFrame:
             ends = np.cumsum(sizes)
             odd = np.concatenate(([0], np.cumsum(~np.isfinite(values))))
             keep = np.flatnonzero(odd[ends] == odd[ends - sizes])
-            ints = np.clip(np.floor(np.where(np.isfinite(values), values, 0.0) * scale), -(2**31) + 1, 2**31 - 1).astype("<i4")
+            ints = np.floor(np.where(np.isfinite(values), values, 0.0) * scale)
+            if np.abs(ints).max(initial=0.0) >= 2.0**62:
+                raise ValueError("a scaled component leaves 64 bits")
             rows = [ints[ends[i] - sizes[i] : ends[i]] for i in keep]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(keep)),
-                    pa.array([r.tobytes() for r in rows], pa.binary()),
-                    pa.array([float(r.astype(float) @ r.astype(float)) for r in rows], pa.float64()),
+                    pa.array([encoded(r) for r in rows], pa.binary()),
+                    pa.array([float(r @ r) for r in rows], pa.float64()),
                     pa.array(sizes[keep].astype(np.int32)),
                 ],
                 ["vec_id", "v", "norm2", "dim"],
@@ -77,21 +80,34 @@ def quantised(vectors: DataFrame, scale: int) -> DataFrame:
     return there.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(run, "vec_id long, v binary, norm2 double, dim int")
 
 
+def encoded(v: np.ndarray) -> bytes:
+    return v.astype("<i4").tobytes() if np.abs(v).max(initial=0) < 2**31 else v.astype("<i8").tobytes() + WIDE
+
+
+def decoded(v: bytes) -> np.ndarray:
+    return np.frombuffer(v, "<i8", len(v) // 8) if len(v) % 4 else np.frombuffer(v, "<i4")
+
+
 def matrix(values: list[bytes], dim: int) -> np.ndarray:
     """Integer vectors as rows, padded with zeros."""
     if all(len(v) == 4 * dim for v in values):
         return np.frombuffer(b"".join(values), "<i4").reshape(len(values), dim)
-    out = np.zeros((len(values), dim), np.int32)
+    out = np.zeros((len(values), dim), np.int64)
     for i, v in enumerate(values):
-        out[i, : len(v) // 4] = np.frombuffer(v, "<i4")
+        own = decoded(v)
+        out[i, : len(own)] = own
     return out
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows."""
-    top = float(max(1, np.abs(a).max(initial=0))) * float(max(1, np.abs(b).max(initial=0)))
-    if top * max(1, a.shape[1]) < 2**53:
+    """Exact inner products of integer rows. Sums may wrap around on the way: they are right if the result fits."""
+    top = float(max(1, np.abs(a).max(initial=0))) * float(max(1, np.abs(b).max(initial=0))) * max(1, a.shape[1])
+    if top < 2**53:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)
+    if top >= 2**62:
+        near = a.astype(float) @ b.astype(float).T
+        if np.abs(near).max(initial=0.0) + 1e-12 * top >= 2.0**63:
+            raise ValueError("a score leaves 64 bits")
     return a.astype(np.int64) @ b.astype(np.int64).T
 
 
@@ -198,7 +214,9 @@ def scored(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.R
 def topk_search(vectors: DataFrame, k: int = K, scale: int = SCALE, every: int = 20, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other vectors of each vector whose vec_id ``every`` divides."""
     spark = prepare(vectors.sparkSession, 4096)
-    table = cut(quantised(vectors, scale))
+    # Numbers in the order of vec_id stand for the rows from here on; the checkpoint fixes them.
+    whole = cut(quantised(vectors, scale).orderBy("vec_id").withColumn("rid", F.monotonically_increasing_id()))
+    table = whole.select(F.col("rid").alias("vec_id"), "v", "norm2", "dim")
     size = table.agg(F.count("*").alias("n"), F.max("norm2").alias("top2"), F.max("dim").alias("dim")).collect()[0]
     n, dim = size["n"], max(1, size["dim"] or 0)
     if not n:
@@ -235,7 +253,7 @@ def topk_search(vectors: DataFrame, k: int = K, scale: int = SCALE, every: int =
     names = ["cell", "part", "kind", "id", "v", "bound"]
     schema = "cell int, part int, kind int, id long, v binary, bound long"
     data = keyed.mapInArrow(place, schema)
-    queries = table.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = whole.where(F.col("vec_id") % every == 0).select(F.col("rid").alias("vec_id"), "v")
 
     def expand(later: bool):
         """Probe rows of the first rings of each query, or of all further rings that its bound leaves."""
@@ -283,7 +301,10 @@ def topk_search(vectors: DataFrame, k: int = K, scale: int = SCALE, every: int =
     reached = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound"))
     asked = queries.join(reached, queries["vec_id"] == reached["query_id"], "left").select("vec_id", "v", "bound")
     rest = search(asked.mapInArrow(expand(True), schema))
-    return best(first.unionAll(rest)).select("query_id", "rank", "vec_id", "score")
+    found = best(first.unionAll(rest))
+    names = [whole.select(F.col("rid").alias(f"__{side}"), F.col("vec_id").alias(f"{side}_name")) for side in ("query", "other")]
+    named = found.join(names[0], F.col("query_id") == F.col("__query")).join(names[1], F.col("vec_id") == F.col("__other"))
+    return named.select(F.col("query_name").alias("query_id"), "rank", F.col("other_name").alias("vec_id"), "score")
 
 
 ORACLE_SQL = """
@@ -291,11 +312,11 @@ WITH clean AS (
   SELECT vec_id, embedding FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), ints AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)) AS v FROM clean
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)) AS v FROM clean
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-  FROM ints q JOIN ints c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM ints q JOIN ints c ON q.vec_id % 20 = 0 AND q.rid <> c.rid
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
-FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+SELECT query_id, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM pairs QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) <= 20
 """
