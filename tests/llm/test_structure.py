@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import conversation_repair, packing, periodic_runs, queries, suffix_dedup, topk_search
+from tidemark.llm import conversation_repair, packing, periodic_runs, queries, substring_dedup, suffix_dedup, topk_search
 
 DOCS = "doc_id long, text string, chunk long, runs string, `range` int, h string"
 
@@ -387,3 +387,24 @@ def test_topk_with_large_components_and_repeated_ids(spark):
     for bad in ([1e18, 0.0], [1e8, 3e10]):
         with pytest.raises(Exception, match="64 bits"):
             topk_search.topk_search(spark.createDataFrame([(0, bad), (20, bad)], "vec_id long, embedding array<double>")).collect()
+
+
+def test_passages_are_cut_by_row(spark):
+    """Rows that share a doc_id, rows without one, and columns named as the operator's own."""
+    rng = random.Random(21)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, clean, clean2 = prose(80), prose(200), prose(150)
+    rows = [
+        (1, prose(30) + " " + passage, 0), (2, clean, 1), (2, prose(100) + " " + passage, 2), (2, clean2, 3),
+        (None, prose(40) + " " + passage, 4), (None, prose(60), 5), (3, passage, 6), (4, None, 7), (4, "", 8), (5, clean[:60], 9),
+    ]
+    names = "doc_id long, text string, mark int, of string, `from` string, `to` string, __row string, __starts int, __ends int"
+    docs = spark.createDataFrame([(*r, "a", "b", "c", "d", 1, 2) for r in rows], names)
+    got = substring_dedup.remove_passages(docs)
+    assert got.columns == docs.columns
+    out = {r["mark"]: r for r in got.collect()}
+    assert {m: out[m]["text"] for m in (0, 1, 3, 5, 7, 8, 9)} == {m: rows[m][1] for m in (0, 1, 3, 5, 7, 8, 9)}
+    assert 6 not in out  # nothing was left of it
+    for m in (2, 4):
+        assert passage not in out[m]["text"] and out[m]["text"].split() == rows[m][1].split()[:-80]
+    assert {(r["of"], r["from"], r["to"], r["__row"], r["__starts"]) for r in out.values()} == {("a", "b", "c", "d", 1)}
