@@ -357,6 +357,33 @@ def qc_all_in_one_scan(spark, sf_dir):
     )
 
 
+@register("qc_merged_state")  # QC1-QC3, QC6-QC8, QC10: checks from stored partition states, new months scanned only
+def qc_merged_state(spark, sf_dir):
+    """State of the lines shipped up to a date, then of the months that later loads and corrections wrote."""
+    from tidemark.operators.check_state import Checks, all_checks, update_state
+    from tidemark.plans.upsert import full_refresh, month_partition, upsert
+    from tidemark.session import scratch_path
+
+    bars = with_returns(combine_sources(bars_source(fx.bars_orders(spark, sf_dir)))).drop("__run_id", "__de_processed_at", "source")
+    c = F.col
+    checks = Checks(
+        rows={"null_return": c("daily_return").isNull(), "gap": c("has_data_gap"), "wide_return": F.abs(c("daily_return")) > 0.5, "high_price": c("close_price") > 400000},
+        unique={"symbol_date": ["symbol", "price_date"], "date": ["price_date"]},
+        distinct={"symbols": "symbol", "closes": "close_price"},
+    )
+    target, state = scratch_path(spark, "checked"), scratch_path(spark, "check-state")
+    split = F.lit(FACT_SPLIT).cast("date")
+    # The first load has a wrong price in one month, which the second one corrects.
+    wrong = F.when(F.trunc("price_date", "month") == F.lit("1995-03-01").cast("date"), c("close_price") * 10).otherwise(c("close_price"))
+    full_refresh(bars.where(c("price_date") < split).withColumn("close_price", wrong), target, month_partition())
+    update_state(spark, state, spark.read.parquet(target), checks)
+    later = bars.where((c("price_date") >= split) | (F.trunc("price_date", "month") == F.lit("1995-03-01").cast("date")))
+    upsert(spark, target, later, ["symbol", "price_date"], ["close_price"], month_partition())
+    written = [r[0] for r in later.select(month_partition().alias("m")).distinct().collect()]
+    update_state(spark, state, spark.read.parquet(target), checks, written)
+    return all_checks(spark, state, checks)
+
+
 # ---------------------------------------------------------------- writes: upsert, incremental, stream
 
 UPSERT_SPLIT = "1998-06-01"   # batch 1: lines shipped before, batch 2: on/after (ingestion order)
