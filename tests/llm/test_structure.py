@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import conversation_repair, packing, periodic_runs, queries, substring_dedup, suffix_dedup, topk_search
+from tidemark.llm import conversation_repair, decontaminate, packing, periodic_runs, queries, substring_dedup, suffix_dedup, topk_search
 
 DOCS = "doc_id long, text string, chunk long, runs string, `range` int, h string"
 
@@ -408,3 +408,20 @@ def test_passages_are_cut_by_row(spark):
     for m in (2, 4):
         assert passage not in out[m]["text"] and out[m]["text"].split() == rows[m][1].split()[:-80]
     assert {(r["of"], r["from"], r["to"], r["__row"], r["__starts"]) for r in out.values()} == {("a", "b", "c", "d", 1)}
+
+
+def test_decontamination_by_shuffles_and_with_many_owners(spark, monkeypatch):
+    """One window held by many items, sides too large to broadcast by rows or by bytes, and no benchmark at all."""
+    rng = random.Random(31)
+    prose = lambda n: [f"w{rng.randrange(500)}" for _ in range(n)]
+    shared = prose(12)
+    docs = [(i, " ".join(prose(20) + (shared if i % 3 == 0 else []) + prose(15))) for i in range(30)] + [(40, None), (41, "")]
+    items = [(i, " ".join(prose(3) + shared + prose(2))) for i in range(200)] + [(300, "w1 w2"), (301, None)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda b: sorted(map(tuple, decontaminate.contamination(table, b).collect()))
+    want = rows(bench)
+    assert {r[0] for r in want if r[3] >= 200} == {i for i in range(0, 30, 3)}
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    assert rows(bench) == want
+    assert not any(r[5] for r in rows(bench.limit(0))) and len(rows(bench.limit(0))) == len(docs)

@@ -38,6 +38,7 @@ from tidemark.session import configure, scratch_root
 WIDTH = 10
 SHINGLE = 4
 BROADCAST_ROWS = 1_000_000  # shingles of at most some 20 bytes each
+BROADCAST_BYTES = 32 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -62,8 +63,10 @@ def windows(benchmark: DataFrame, width: int) -> DataFrame:
     return items.select("item_id", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("w", i + 1, width))).alias("win")).distinct()
 
 
-def small(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def bounded(df: DataFrame, size: Column, rows: int) -> DataFrame:
+    """``df`` hinted for broadcast if its own rows and bytes (``size`` of a row) are within the bounds, else as it is."""
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).collect()[0]
+    return F.broadcast(df) if found["n"] <= rows and found["bytes"] <= BROADCAST_BYTES else df
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, shingle: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -92,7 +95,6 @@ def keyed_contamination(documents: DataFrame, benchmark: DataFrame, width: int =
         need = distinct.select("wid", F.size("win").alias("len"), F.lit(0).alias("off"), F.lit(0).cast("long").alias("h"))
     need = cut(need)
     keys = need.select("h").distinct()
-    fits = small(keys, broadcast_rows)
 
     docs = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     texts = docs.select("doc_id", "key", words_of(F.col("text")).alias("w"))
@@ -100,7 +102,7 @@ def keyed_contamination(documents: DataFrame, benchmark: DataFrame, width: int =
     # One list of hashes for a text: those of the first size come first, so the place gives position and size.
     spread = texts.select("doc_id", "key", F.size("w").alias("n_words"), hashes.alias("hs")).select("doc_id", "key", "n_words", F.posexplode_outer("hs").alias("i", "h"))
     marked = keys.withColumn("hit", F.lit(True))
-    seen = spread.join(F.broadcast(marked) if fits else marked, "h", "left").where(F.col("hit") | (F.coalesce("i", F.lit(0)) == 0))
+    seen = spread.join(bounded(marked, F.lit(16), broadcast_rows), "h", "left").where(F.col("hit") | (F.coalesce("i", F.lit(0)) == 0))
     seen = cut(seen.select("doc_id", "key", "n_words", F.coalesce("i", F.lit(0)).alias("i"), "h", F.coalesce("hit", F.lit(False)).alias("hit")))
 
     # Place within the text, for the sizes before it in the list.
@@ -114,16 +116,17 @@ def keyed_contamination(documents: DataFrame, benchmark: DataFrame, width: int =
     rarity = matches.groupBy("h").agg(F.count("*").alias("freq"))
     ranked = need.join(rarity, "h", "left").withColumn("freq", F.coalesce("freq", F.lit(0)))
     prefix = ranked.groupBy("wid", "len").agg(F.min(F.struct("freq", "h", "off")).alias("rarest")).where("rarest.freq > 0")
-    prefix = prefix.select("wid", "len", F.col("rarest.h").alias("h"), F.col("rarest.off").alias("off"))
+    # One row for each window with a shingle in the corpus; read twice, so computed once.
+    prefix = cut(prefix.select("wid", "len", F.col("rarest.h").alias("h"), F.col("rarest.off").alias("off")))
     start = F.col("pos") - F.col("off")
     candidates = (
-        matches.join(F.broadcast(prefix) if fits else prefix, "h")
+        matches.join(bounded(prefix, F.lit(32), broadcast_rows), "h")
         .where((start >= 0) & (start + F.col("len") <= F.col("n_words")))
         .select("key", start.alias("start"), "wid")
         .distinct()
     )
     content = distinct.select("wid", "win")
-    placed = candidates.join(F.broadcast(content) if fits else content, "wid").groupBy("key").agg(F.collect_list(F.struct("start", "wid", "win")).alias("c"))
+    placed = candidates.join(bounded(content, F.length(F.concat_ws(" ", "win")) + 8 * F.size("win"), broadcast_rows), "wid").groupBy("key").agg(F.collect_list(F.struct("start", "wid", "win")).alias("c"))
     of_text = docs.select("key", "text").join(placed, "key").select("key", "c", words_of(F.col("text")).alias("w"))
     true = of_text.select(
         "key",
@@ -145,7 +148,7 @@ def keyed_contamination(documents: DataFrame, benchmark: DataFrame, width: int =
     hits = true.select("key", covered(F.col("c")).cast("long").alias("n_hit"))
     named = true.select("key", F.explode(F.array_distinct(F.transform("c", lambda x: x["wid"]))).alias("wid"))
     owners = found.select("item_id", F.xxhash64("win", F.size("win")).alias("wid")).distinct()
-    items = named.join(F.broadcast(owners) if fits else owners, "wid").groupBy("key").agg(F.collect_set("item_id").alias("items"))
+    items = named.join(bounded(owners, F.length("item_id") + 16, broadcast_rows), "wid").groupBy("key").agg(F.collect_set("item_id").alias("items"))
     joined = hits.join(items, "key", "left")
     own = seen.where("i = 0").select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"))
     none = F.coalesce("items", F.array().cast("array<string>"))
