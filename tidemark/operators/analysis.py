@@ -97,7 +97,7 @@ def year_to_date(fact: DataFrame, benchmark: str = BENCHMARK) -> DataFrame:
     )
     b = ytd.where(F.col("symbol") == benchmark).select(F.max("ytd")).scalar()
     return ytd.select(
-        "symbol", F.round(F.when(F.col("ytd").isNotNull() & b.isNotNull(), F.col("ytd") - b), ROUND_RETURN).alias("ytd_excess")
+        "symbol", F.round(F.col("ytd") - b, ROUND_RETURN).alias("ytd_excess")
     )
 
 
