@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,16 +30,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished steps now.
-
-    After a checkpoint nothing refers to the shuffles before it, but Spark removes their files only when the driver's
-    collector finds that out, by itself every half an hour. Call it where a large shuffle is done with and another is to come.
-    """
-    gc.collect()  # frames of this side first: they hold the plans
-    spark.sparkContext._jvm.System.gc()
-
-
 def crc_mod(column: Column, n: int) -> Column:
     """crc32 of a value's text, modulo n (null for null)."""
     return F.crc32(column.cast("string")) % n
