@@ -262,6 +262,45 @@ def test_exact_passages_whose_seeds_all_lead_elsewhere(spark):
                     assert set(range(k, k + 50)) <= covered[i]
 
 
+def test_links_reach_every_earlier_document_of_a_seed():
+    h, doc, pos = np.array([7, 7, 7, 7, 9], np.uint64), np.array([3, 1, 2, 3, 5]), np.array([4, 0, 6, 8, 1])
+    on, crowd, found = substring_dedup.linked(h, doc, pos, 8)
+    assert {x[:2] for x in zip(*found)} == {(2, 1), (3, 1), (3, 2)} and len(on) == 5 and not crowd.any()
+    on, crowd, found = substring_dedup.linked(h, doc, pos, 2)
+    assert {x[:2] for x in zip(*found)} == {(2, 1), (3, 1)} and sorted(doc[on]) == [1, 5] and crowd.tolist() == [True, False]
+    on, _, found = substring_dedup.linked(h, doc, pos, 8, every=False)
+    assert len(on) == 5 and not len(found[0])
+
+
+def scattered(later):
+    """Documents 10 and 11 share a fuzzy passage of 60 words; each of its equal runs is in an earlier document too."""
+    rng = random.Random(16)
+    unique = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    shared = unique(60)
+    rows = [(i, unique(20) + shared[15 * i : 15 * i + 15] + unique(20)) for i in range(4)]
+    rows.append((10, unique(12) + shared + unique(9)))
+    rows.append((11, unique(8) + ["altered" if i % 15 == 0 and i else w for i, w in enumerate(shared)] + unique(7)))
+    rows += [(20 + i, unique(5) + shared[1:15] + unique(5)) for i in range(later)]
+    return [(i, " ".join(w)) for i, w in rows]
+
+
+def test_fuzzy_passages_whose_seeds_lead_elsewhere(spark):
+    for n in (1, 4):
+        found = substring_dedup.passages(spark.createDataFrame(scattered(9), "doc_id long, text string").repartition(n)).collect()
+        assert [tuple(r[:6]) for r in found] == [(11, 8, 68, 10, 12, 72)] and abs(found[0]["identity"] - 57 / 60) < 1e-9
+
+
+def test_cells_keep_numbers():
+    rng = np.random.default_rng(3)
+    for n, top in ((1, 5), (300, 2**16), (5000, 2**63 - 1)):
+        bucket = rng.integers(0, 4, n)
+        columns = [rng.integers(-top, top, n), rng.integers(0, 9, n), np.zeros(n, np.int64)]
+        table = pa.Table.from_batches([substring_dedup.packed(0, bucket, *columns)])
+        for i, b in enumerate(table.column("bucket").to_pylist()):
+            got = substring_dedup.numbers(table.column("cell")[i].as_py(), 3).astype(np.int64)
+            assert sorted(map(tuple, got.T)) == sorted(zip(*(c[bucket == b] for c in columns)))
+
+
 def fuzzy_recall(spark, identity, pairs=60, words=120):
     """Share of the words of planted passages that are found, 1 - identity of the words altered."""
     rng = random.Random(int(identity * 100))
