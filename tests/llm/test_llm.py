@@ -290,6 +290,13 @@ def test_fuzzy_passages_whose_seeds_lead_elsewhere(spark):
         assert [tuple(r[:6]) for r in found] == [(11, 8, 68, 10, 12, 72)] and abs(found[0]["identity"] - 57 / 60) < 1e-9
 
 
+def test_fuzzy_passages_whose_seeds_lead_elsewhere_are_removed(spark):
+    rows = scattered(3)
+    left = dict(substring_dedup.remove_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    words = rows[5][1].split()
+    assert left[11].split() == words[:8] + words[68:] and all(left[i] == t for i, t in rows if i != 11)
+
+
 def test_cells_keep_numbers():
     rng = np.random.default_rng(3)
     for n, top in ((1, 5), (300, 2**16), (5000, 2**63 - 1)):
