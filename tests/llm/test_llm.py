@@ -2,10 +2,14 @@
 
 import itertools
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -297,6 +301,29 @@ def test_fuzzy_passages_whose_seeds_lead_elsewhere_are_removed(spark):
     assert left[11].split() == words[:8] + words[68:] and all(left[i] == t for i, t in rows if i != 11)
 
 
+LEFT = """
+import sys, time
+from pathlib import Path
+from tidemark.llm import substring_dedup
+from tidemark.session import build_session
+spark = build_session("local[2]", shuffle_partitions=3, extra={"spark.local.dir": sys.argv[1], "spark.checkpoint.dir": sys.argv[2]})
+rows = [(i, " ".join(f"w{k}" for k in range(40 * i, 40 * i + 100))) for i in range(20)]
+found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+for _ in range(100):
+    left = list(Path(sys.argv[1]).rglob("shuffle_*.data"))
+    if not left:
+        break
+    time.sleep(0.1)
+print("left", len(left), "rows", found.count(), found.count(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false"))
+"""
+
+
+def test_passages_keep_no_shuffle_files_of_finished_steps(tmp_path):
+    root = str(Path(__file__).resolve().parents[2])
+    run = subprocess.run([sys.executable, "-c", LEFT, str(tmp_path / "local"), str(tmp_path / "scratch")], cwd=root, env={**os.environ, "PYTHONPATH": root, "SPARK_LOCAL_DIRS": str(tmp_path / "local")}, capture_output=True, text=True, timeout=300)
+    assert run.stdout.split()[-6:] == ["left", "0", "rows", "19", "19", "false"], run.stdout + run.stderr
+
+
 def test_cells_keep_numbers():
     rng = np.random.default_rng(3)
     for n, top in ((1, 5), (300, 2**16), (5000, 2**63 - 1)):
