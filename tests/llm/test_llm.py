@@ -510,6 +510,55 @@ def test_stirling_weights_against_seating_enumeration():
         assert np.allclose([weights[c, t] for t in range(1, c + 1)], [want[t] for t in range(1, c + 1)])
 
 
+def test_language_model_table_counts_against_exact_weights():
+    rng = np.random.default_rng(1)
+    n, many = 4000, lm_scoring.STIRLING
+    for d in (0.3, 0.6, 0.8, 0.95):
+        log_s = lm_scoring.log_stirling(d)
+        t = np.arange(1, many + 1)
+        # What the rejection for many customers proposes is nowhere too rare.
+        ratio = log_s[many, 1:] + lm_scoring.lgamma(t) + (t - 1) * np.log(d) + lm_scoring.lgamma(np.array([1 - d])) - lm_scoring.lgamma(np.array([many - d]))
+        assert (ratio <= (t - 1) * 2 * max(0.0, ratio[1]) + 1e-9).all()
+        assert np.allclose(lm_scoring.thinning(np.full(5, many), t[:5], d), np.exp(ratio[:5]))
+        for c, a in ((7, 0.8), (300, 0.5), (300, 9.0), (300, 200.0)):
+            weight = log_s[c, 1 : c + 1] + t[:c] * np.log(a)
+            weight = np.exp(weight - weight.max())
+            mean = (weight * t[:c]).sum() / weight.sum()
+            sd = np.sqrt((weight * (t[:c] - mean) ** 2).sum() / weight.sum())
+            draws = [lm_scoring.draw_tables(np.full(n, c), np.full(n, a), d, log_s, rng)] + ([lm_scoring.many(np.full(n, c), np.full(n, a), d, rng)] if c > 100 else [])
+            for got in draws:
+                assert abs(got.mean() - mean) < 5 * sd / n**0.5 + 1e-9
+
+
+def test_language_model_seatings_against_the_enumerated_posterior():
+    d, n, ctx = (0.5, 0.7), np.array([3, 2, 4, 1], np.uint32), np.array([0, 1, 0, 1], np.uint32)
+    ends = np.array([2, 4], np.int32)
+    up_s, low_s = (np.exp(lm_scoring.log_stirling(x)[:11, :11]) for x in d)
+    rising = lambda step, k: math.prod(1 + step * i for i in range(k))
+    total, want = 0.0, np.zeros(6)
+    for t in itertools.product(*(range(1, k + 1) for k in n)):
+        c = (t[0] + t[1], t[2] + t[3])
+        weight = rising(d[1], t[0] + t[2]) * rising(d[1], t[1] + t[3]) * math.prod(low_s[k, x] for k, x in zip(n, t)) / rising(1, sum(c))
+        for up in itertools.product(*(range(1, k + 1) for k in c)):
+            p = weight * rising(d[0], sum(up)) * up_s[c[0], up[0]] * up_s[c[1], up[1]] / 3 ** sum(up)
+            total += p
+            want += p * np.array(t + up)
+    totals = lm_scoring.Totals(np.array([7.0, 3.0]), np.array([2.0, 2.0]), 2.0, 2, d)
+    t, up = lm_scoring.gibbs(np.array([5, 9], np.uint64), ends, ctx, n, totals, 8000, tuple(lm_scoring.log_stirling(x) for x in d))
+    assert np.abs(np.concatenate((t, up), 1).mean(0) - want / total).max() < 0.06
+
+
+def test_language_model_contexts_are_whole_words(spark):
+    # Words before x and y end in the same letters, and only the whole word tells what follows.
+    rows = [(i, " ".join(["one_ending x", "two_ending y"][(i + j) % 2] for j in range(20))) for i in range(60)]
+    rows += [(1000 + i, text) for i in range(40) for text in (["one_ending x"] * 2 + ["two_ending x"] * 2)[i % 4 : i % 4 + 1]]
+    rows = [(i, t) for i, t in rows if i < 1000 or zlib.crc32(str(i).encode()) % 10 == 0]
+    assert len({t for i, t in rows if i >= 1000}) == 2
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.lm_scoring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    right, wrong = ([got[i] for i, t in rows if i >= 1000 and t.startswith(x)] for x in ("one", "two"))
+    assert min(right) > max(wrong) + 1
+
+
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(9)
     items = [(i, prose(rng, n)) for i, n in enumerate((30, 12, 10, 7, 3, 1, 25))] + [(20, "same words here twice same words here twice"), (21, "same words here twice same words here twice"), (30, None), (31, "?!"), (None, "x")]
