@@ -301,6 +301,56 @@ def test_fuzzy_passages_whose_seeds_lead_elsewhere_are_removed(spark):
     assert left[11].split() == words[:8] + words[68:] and all(left[i] == t for i, t in rows if i != 11)
 
 
+def crowds():
+    """Documents 1000 to 1002 share a fuzzy passage of 60 words; each equal run of it is in 50 earlier documents, others each time."""
+    rng = random.Random(18)
+    unique = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    shared = unique(60)
+    rows = [(50 * part + i, unique(20) + shared[15 * part : 15 * part + 15] + unique(20)) for part in range(4) for i in range(50)]
+    rows.append((1000, unique(12) + shared + unique(9)))
+    rows.append((1001, unique(8) + ["altered" if i % 15 == 0 and i else w for i, w in enumerate(shared)] + unique(7)))
+    rows.append((1002, unique(8) + [w for i, w in enumerate(shared) if i not in (14, 30)] + unique(7)))
+    return [(i, " ".join(w)) for i, w in rows]
+
+
+def test_fuzzy_passages_whose_seeds_are_all_crowds(spark):
+    for n in (1, 5):
+        found = substring_dedup.passages(spark.createDataFrame(crowds(), "doc_id long, text string").repartition(n)).collect()
+        assert sorted(tuple(r[:6]) for r in found) == [(1001, 8, 68, 1000, 12, 72), (1002, 8, 66, 1000, 12, 72)]
+        assert sorted(round(r["identity"], 6) for r in found) == [0.95, round(58 / 60, 6)]
+
+
+def test_fuzzy_passages_whose_seeds_are_all_crowds_are_removed(spark):
+    rows = crowds()
+    left = dict(substring_dedup.remove_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    for i, (start, end) in ((1001, (8, 68)), (1002, (8, 66))):
+        words = dict(rows)[i].split()
+        assert left[i].split() == words[:start] + words[end:]
+    assert all(left[i] == t for i, t in rows if i < 1001)
+
+
+def test_crowds_cover_what_meeting_all_documents_covers(spark):
+    rng = random.Random(19)
+    unique = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    pool = [unique(rng.randint(5, 18)) for _ in range(14)]
+    rows = []
+    for i in range(120):
+        words = unique(rng.randint(0, 6))
+        for _ in range(rng.randint(2, 7)):
+            words += rng.choice(pool) + unique(rng.choice((0, 1, 1, 3, 9)))
+        if i > 20 and rng.random() < 0.4:
+            old = rng.choice(rows)[1].split()
+            words += [f"c{rng.randrange(10**9)}" if rng.random() < 0.05 else w for w in old[: rng.randint(50, 90)] if rng.random() > 0.02]
+        rows.append((i, " ".join(words)))
+    covered = []
+    for most in (10**6, 2):
+        covered.append(defaultdict(set))
+        for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), most=most).collect():
+            assert r["source_doc_id"] < r["doc_id"] and r["identity"] >= 0.8
+            covered[-1][r["doc_id"]] |= set(range(r["start"], r["end"]))
+    assert len(covered[0]) > 10 and all(words <= covered[1][i] for i, words in covered[0].items())
+
+
 LEFT = """
 import sys, time
 from pathlib import Path
