@@ -351,6 +351,75 @@ def test_crowds_cover_what_meeting_all_documents_covers(spark):
     assert len(covered[0]) > 10 and all(words <= covered[1][i] for i, words in covered[0].items())
 
 
+def test_crowds_in_rounds_give_the_same_passages(spark, monkeypatch):
+    """Keys and words of the pairs travel a few at a time; sources are still met in order, each word covered once."""
+    rows, rng = crowds(), random.Random(20)
+    for i in range(1003, 1012):
+        words = rows[200 + i % 3][1].split()
+        rows.append((i, " ".join(w if rng.random() > 0.03 else f"c{rng.randrange(10**9)}" for w in words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    want = sorted(map(tuple, substring_dedup.passages(docs).collect()))
+    sent, real = [], substring_dedup.cut
+    monkeypatch.setattr(substring_dedup, "cut", lambda df, free=False: (real(df, free), sent.append(df.columns))[0])
+    monkeypatch.setattr(substring_dedup, "KEYS_ROUND", (0.5, 1))
+    monkeypatch.setattr(substring_dedup, "WORDS_ROUND", (0.4, 1))
+    assert sorted(map(tuple, substring_dedup.passages(docs).collect())) == want and len(want) >= 8
+    assert sent.count(substring_dedup.COLUMNS) > 3 and sent.count(["bucket", "a", *substring_dedup.NAMES]) > 2
+
+
+def some_words(rng, n, kinds):
+    return np.array([rng.randrange(kinds) for _ in range(n)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def test_keys_of_all_parts_are_the_keys():
+    rng = random.Random(22)
+    sizes = np.array([80, 4, 61, 200])
+    words = some_words(rng, 345, 6)
+    crowd, shared = (np.array([rng.random() < x for _ in range(345)]) for x in (0.2, 0.5))
+    rows = lambda part: set(map(tuple, np.stack([x.astype(np.uint64) for x in substring_dedup.neighbours(words, sizes, crowd, shared, part)], 1).tolist()))
+    parts, whole = [rows((i, 3)) for i in range(3)], rows((0, 1))
+    assert sum(map(len, parts)) == len(whole) and set().union(*parts) == whole and all(parts)
+    h = lambda i: tuple(words[i : i + 5].tolist())
+    starts, want = np.cumsum(sizes) - sizes, set()
+    for text, (low, n) in enumerate(zip(starts.tolist(), sizes.tolist())):
+        for i in range(low, low + n - 4):
+            for step in (1, *range(5, 36)):
+                j = i + step
+                if j <= low + n - 5 and (crowd[i] or shared[i]) and (crowd[j] or shared[j]) and (crowd[i] != crowd[j] if step == 1 else crowd[i] or crowd[j]):
+                    want.add((text, step == 1, h(i), h(j), *((words[i + 5] % 2**32, words[j - 1] % 2**32) if step > 1 else (0, 0))))
+    assert len(whole) == len(want)
+    raw = sum(substring_dedup.number_of_keys(crowd[low : low + n], shared[low : low + n]) for low, n in zip(starts, sizes))
+    assert raw >= len([x for x in want if not x[1]])
+
+
+def test_bound_of_a_pair_leaves_every_passage():
+    rng = random.Random(23)
+    found = left = 0
+    for _ in range(400):
+        one = some_words(rng, rng.randint(50, 140), 40)
+        other = one[rng.randint(0, 40) :].copy()
+        for i in range(len(other)):
+            if rng.random() < 0.06:
+                other[i] = rng.randrange(40)
+        other = np.concatenate((some_words(rng, rng.randint(0, 30), 40), other[: rng.randint(20, 120)], some_words(rng, rng.randint(0, 30), 40)))
+        one, other = substring_dedup.Stretch(one), substring_dedup.Stretch(other)
+        passages = substring_dedup.compared(one, other, 50, 0.8)
+        for x, y, *_ in passages:
+            todo = np.zeros(len(one.words), bool)
+            todo[rng.randrange(x, y)] = True
+            assert substring_dedup.can_add(one, other, todo, 50, 0.8)
+        found += len(passages)
+        left += not substring_dedup.can_add(one, other, np.ones(len(one.words), bool), 50, 0.8)
+    assert found > 50 and left > 20
+
+
+def test_order_by_hash():
+    rng = np.random.default_rng(24)
+    for n, top in ((0, 5), (1, 5), (700, 9), (700, 2**40), (5000, 2**63)):
+        h = rng.integers(0, top, n).astype(np.uint64)
+        assert (substring_dedup.by_hash(h) == np.argsort(h, kind="stable")).all()
+
+
 LEFT = """
 import sys, time
 from pathlib import Path
